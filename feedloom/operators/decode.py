@@ -19,7 +19,7 @@ def _parse(payload: str) -> str:
 
 
 def decode(messages: DataFrame) -> DataFrame:
-    """Messages to ``message_id, attributes, publish_time, payload, event, decode_error``.
+    """Messages to ``message_id, attributes, publish_time, payload, event, decode_error, has_payload``.
 
     ``payload`` keeps the untouched bytes, ``event`` is their VARIANT form.  A payload that
     itself is a wrapped message is opened once more, and its id and attributes win.
@@ -48,17 +48,21 @@ def decode(messages: DataFrame) -> DataFrame:
             "coalesce(inner_message.attributes, attributes) AS attributes",
             "publish_time",
             "coalesce(data, '') = '' AS no_data",
-            "if(inner_message IS NOT NULL, inner_message.payload, payload) AS payload",
+            "CASE WHEN coalesce(data, '') = '' THEN NULL WHEN inner_message IS NOT NULL "
+            "THEN inner_message.payload ELSE payload END AS payload",
             f"if(inner_message IS NOT NULL, {_parse('inner_message.payload')}, event) AS event",
         )
+        # The generator is a fence: a later filter on its columns stays above it.  Pushed
+        # below, it would decode and parse every message once more.
         .selectExpr(
             "message_id",
             "attributes",
             "publish_time",
             "payload",
             "event",
-            f"CASE WHEN no_data THEN '{BAD_REQUEST}' WHEN payload IS NULL THEN '{FORMAT_ERROR}' "
-            f"WHEN event IS NULL THEN '{BAD_REQUEST}' END AS decode_error",
+            f"inline(array(named_struct('decode_error', CASE WHEN no_data THEN '{BAD_REQUEST}' "
+            f"WHEN payload IS NULL THEN '{FORMAT_ERROR}' WHEN event IS NULL THEN '{BAD_REQUEST}' END, "
+            "'has_payload', payload IS NOT NULL)))",
         )
     )
 

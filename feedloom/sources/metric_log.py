@@ -23,6 +23,7 @@ LOG_SCHEMA = T.StructType(
             T.StructType(
                 [
                     T.StructField("latency_ms", T.DoubleType()),
+                    T.StructField("write_ms", T.DoubleType()),
                     T.StructField("size_bytes", T.LongType()),
                     T.StructField("queue_depth", T.LongType()),
                 ]
