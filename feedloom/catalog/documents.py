@@ -432,7 +432,7 @@ _add(
             ),
             "reasonForPause": (
                 "CASE k % 3 WHEN 0 THEN NULL WHEN 1 THEN concat('{\"category\":\"cat-', k % 8, "
-                "'\",\"subcategory\":[null,\"sub-', k % 5, '\"],\"comebackProbab\":\"0.', k % 100 + 100, '\"}') "
+                "'\",\"subcategory\":[null,\"sub-', k % 5, '\"],\"comebackProbab\":\"0.', k % 90 + 10, '\"}') "
                 "ELSE concat('[{\"category\":\"cat-', k % 8, '\",\"comebackProbab\":0.5}]') END"
             ),
         },

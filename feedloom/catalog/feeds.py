@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import table
+from ..session import spread, table
 
 MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
@@ -70,7 +70,8 @@ COPIES = "CASE WHEN event_id % 20 = 3 THEN 3 ELSE 1 END"
 
 def messages(spark: SparkSession, sf_dir: str, copies: bool = True) -> DataFrame:
     """Topic messages of the change events: single and double wrapped, damaged, empty, repeated."""
-    base = table(spark, sf_dir, "events").selectExpr(
+    events = table(spark, sf_dir, "events")
+    base = spread(events, events).selectExpr(
         "event_id",
         "ts",
         f"{COLLECTION} AS coll",

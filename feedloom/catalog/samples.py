@@ -9,6 +9,7 @@ nothing of documents, messages or encodings.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..operators.mapping import Collection, Field
 from ..plans.collections import REGISTRY
-from ..session import table
+from ..session import spread, table
 
 DATABASE = "shop"
 AS_OF = "2024-01-31 00:00:00"
@@ -146,6 +147,7 @@ class Sample:
     def documents(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         """k, id, t and the document's JSON text."""
         base = self.spark(spark, sf_dir) if self.spark else tables_in(self.base, spark, sf_dir)
+        base = spread(base, table(spark, sf_dir, re.search(r"\{(\w+)\}", self.base).group(1)))
         uses_text = any(f.source == "_id" and f.function for f in self.spec.mapped)
         id_json = "concat('\"', id, '\"')"
         if not uses_text:

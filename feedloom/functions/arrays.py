@@ -1,8 +1,8 @@
 """Array and map measures of a document, as Spark SQL expression text.
 
-Each family first reads its array once into a small typed array of structs (a ``stage_``
-function); the mapping compiler projects that column ahead of the measures, so eleven
-measures over the same log read the document once.  A slot that is absent gives NULL, a slot
+Each family first reads its array once into a small typed array of structs (a ``Stage``);
+the mapping compiler projects that column ahead of the measures, so eleven measures over the
+same log read the document once.  A slot that is absent gives NULL, a slot
 that is present but not an array gives the measure's ``default``.
 """
 
@@ -20,67 +20,77 @@ SEPARATOR = ", "
 # --- staged arrays ---------------------------------------------------------------------
 
 
-def _typed(node: Node, **fields: str) -> str:
-    """Array of structs with each named field unwrapped and read as its type."""
-    shape = ",".join(f"{name} variant" for name in fields)
-    members = ", ".join(
-        f"'{name}', {V.READERS[t](V.unwrap(f'e.{name}'))}" for name, t in fields.items()
-    )
-    items = node.raw(f"array<struct<{shape}>>")
-    return f"transform({items}, e -> named_struct({members}))"
+@dataclass(frozen=True)
+class Stage:
+    """Two projections that turn an array slot into typed structs.
+
+    ``texts`` reads every element's fields as text in one cast.  ``typed`` converts them; an
+    array with any value that text does not decide is read again by value type, whole.
+    """
 
+    name: str
+    texts: Callable[[Node], str]
+    typed: Callable[[Node, str], str]
 
-def stage_items(node: Node) -> str:
-    """Plain values: the text of every element that counts as true."""
-    one = V.unwrap("e")
-    return f"transform({node.raw('array<variant>')}, e -> if({V.truth_of(one)}, {V.text_of(one)}, NULL))"
 
+def _structs(name: str, /, **fields: str) -> Stage:
+    """Array of objects with each named field unwrapped and read as its type."""
 
-def stage_dogs(node: Node) -> str:
-    return _typed(node, name="string", weight="double")
+    def texts(node: Node) -> str:
+        return node.raw("array<struct<" + ",".join(f"{f} string" for f in fields) + ">>")
 
+    def typed(node: Node, staged: str) -> str:
+        items = node.raw("array<struct<" + ",".join(f"{f} variant" for f in fields) + ">>")
+        by_text = ", ".join(f"'{f}', {V.direct(f'e.{f}', t)}" for f, t in fields.items())
+        by_type = ", ".join(f"'{f}', {V.READERS[t](V.unwrap(f'e.{f}'))}" for f, t in fields.items())
+        unclear = " OR ".join(V.undecided(f"e.{f}", t) for f, t in fields.items())
+        return (
+            f"if(exists({staged}, e -> {unclear}), transform({items}, e -> named_struct({by_type})), "
+            f"transform({staged}, e -> named_struct({by_text})))"
+        )
 
-def stage_comments(node: Node) -> str:
-    return _typed(node, date="timestamp")
+    return Stage(name, texts, typed)
 
 
-def stage_lines(node: Node) -> str:
-    return _typed(node, qty="bigint", unitGrams="bigint", unitAmount="double", product="string")
+def _items_typed(node: Node, staged: str) -> str:
+    """Plain values: the text of every element that counts as true."""
+    one = V.unwrap("e")
+    by_type = f"transform({node.raw('array<variant>')}, e -> if({V.truth_of(one)}, {V.text_of(one)}, NULL))"
+    unclear = f"{V.opens_container('e')} OR substring(e, 1, 1) IN ('0', '-', '.') OR e = 'false'"
+    return f"if(exists({staged}, e -> {unclear}), {by_type}, transform({staged}, e -> nullif(e, '')))"
 
 
-def stage_refunds(node: Node) -> str:
-    items = node.raw("array<struct<amount variant,createdAt variant,status variant,reason variant>>")
-    category = Node(V.unwrap("e.reason"), "category").value()
+def _bags_typed(node: Node, staged: str) -> str:
+    """bagList as size -> meat -> count."""
+    by_size = V.cast_to(node.child("bagList").value(), "map<string,map<string,variant>>")
+    count = f"coalesce({V.integer_of(V.unwrap('n'))}, 0L)"
+    by_type = f"transform_values({by_size}, (s, meats) -> transform_values(meats, (m, n) -> {count}))"
+    unclear = f"exists(map_values({staged}), m -> m IS NULL OR exists(map_values(m), n -> n IS NULL))"
     return (
-        f"transform({items}, e -> named_struct("
-        f"'amount', {V.real_of(V.unwrap('e.amount'))}, "
-        f"'createdAt', {V.time_of(V.unwrap('e.createdAt'))}, "
-        f"'status', {V.text_of(V.unwrap('e.status'))}, "
-        f"'reason', {V.text_of(category)}))"
+        f"CASE WHEN NOT {unclear} THEN {staged} WHEN {node.raw()} IS NOT NULL THEN {by_type} END"
     )
 
 
-def stage_contacts(node: Node) -> str:
-    return _typed(
-        node,
+STAGES = {
+    "items": Stage("items", lambda node: node.raw("array<string>"), _items_typed),
+    "dogs": _structs("dogs", name="string", weight="double"),
+    "comments": _structs("comments", date="timestamp"),
+    "lines": _structs("lines", qty="bigint", unitGrams="bigint", unitAmount="double", product="string"),
+    "refunds": _structs("refunds", amount="double", createdAt="timestamp", status="string", reason="json"),
+    "contacts": _structs(
+        "contacts",
         eventType="string",
         direction="string",
         status="string",
         agent="string",
         startedAt="timestamp",
         duration="bigint",
-    )
-
-
-def stage_changes(node: Node) -> str:
-    return _typed(node, key="string", updatedBy="string", createdAt="timestamp")
-
-
-def stage_bags(node: Node) -> str:
-    """bagList as size -> meat -> count."""
-    by_size = V.cast_to(node.child("bagList").value(), "map<string,map<string,variant>>")
-    count = f"coalesce({V.integer_of(V.unwrap('n'))}, 0L)"
-    return f"transform_values({by_size}, (s, meats) -> transform_values(meats, (m, n) -> {count}))"
+    ),
+    "changes": _structs("changes", key="string", updatedBy="string", createdAt="timestamp"),
+    "bags": Stage(
+        "bags", lambda node: node.raw("map<string,map<string,bigint>>", "bagList"), _bags_typed
+    ),
+}
 
 
 # --- measures over staged arrays -------------------------------------------------------
@@ -145,6 +155,13 @@ def latest_refund(items: str, field: str) -> str:
     return _latest(items, field, untimed="skip")
 
 
+def latest_refund_category(items: str) -> str:
+    """Category of the latest refund's reason object; only that one reason is parsed."""
+    reason = f"array(try_parse_json({latest_refund(items, 'reason')}))"
+    category = V.text_of(Node(V.unwrap("c"), "category").value())
+    return f"get(transform({reason}, c -> {category}), 0)"
+
+
 def latest_change(items: str, field: str) -> str:
     return _latest(items, field, untimed="last")
 
@@ -226,7 +243,7 @@ def bag_size(bags: str, size: str) -> str:
 class Measure:
     """How to stage an array, how to measure it, and what an unusable slot gives."""
 
-    stage: Callable[[Node], str]
+    stage: str
     measure: Callable[..., str]
     default: str | None = None
 
@@ -238,32 +255,33 @@ class Measure:
 
 
 MEASURES: dict[str, Measure] = {
-    "count": Measure(stage_items, size_of, "0L"),
-    "join": Measure(stage_items, joined, "''"),
-    "dog_count": Measure(stage_dogs, size_of, "0L"),
-    "dog_names": Measure(stage_dogs, lambda a: joined(a, "name"), "''"),
-    "dog_weight": Measure(stage_dogs, weight_sum),
-    "comment_count": Measure(stage_comments, size_of, "0L"),
-    "newest_comment": Measure(stage_comments, lambda a: newest(a, "date")),
-    "line_count": Measure(stage_lines, size_of, "0L"),
-    "line_qty": Measure(stage_lines, quantity, "0L"),
-    "line_grams": Measure(stage_lines, grams, "0L"),
-    "line_amount": Measure(stage_lines, line_amount, "0D"),
-    "line_products": Measure(stage_lines, lambda a: joined(a, "product"), "''"),
-    "refund_count": Measure(stage_refunds, size_of, "0L"),
-    "refund_amount": Measure(stage_refunds, refund_amount, "0D"),
-    "latest_refund": Measure(stage_refunds, latest_refund),
-    "log_count": Measure(stage_contacts, size_of, "0L"),
-    "log_duration": Measure(stage_contacts, duration_sum, "0L"),
-    "log_kind": Measure(stage_contacts, lambda a, kind: matching(a, "eventType", kind), "0L"),
-    "last_log": Measure(stage_contacts, last_entry),
-    "change_count": Measure(stage_changes, size_of, "0L"),
-    "changes_by": Measure(stage_changes, lambda a, who: matching(a, "updatedBy", who), "0L"),
-    "changes_by_others": Measure(stage_changes, other_actors, "0L"),
-    "latest_change": Measure(stage_changes, latest_change),
-    "top_keys": Measure(stage_changes, top_keys, "''"),
-    "distinct_keys": Measure(stage_changes, distinct_keys, "0L"),
-    "bag_total": Measure(stage_bags, bag_total, "0L"),
-    "bag_meat": Measure(stage_bags, bag_meat, "0L"),
-    "bag_size": Measure(stage_bags, bag_size, "0L"),
+    "count": Measure("items", size_of, "0L"),
+    "join": Measure("items", joined, "''"),
+    "dog_count": Measure("dogs", size_of, "0L"),
+    "dog_names": Measure("dogs", lambda a: joined(a, "name"), "''"),
+    "dog_weight": Measure("dogs", weight_sum),
+    "comment_count": Measure("comments", size_of, "0L"),
+    "newest_comment": Measure("comments", lambda a: newest(a, "date")),
+    "line_count": Measure("lines", size_of, "0L"),
+    "line_qty": Measure("lines", quantity, "0L"),
+    "line_grams": Measure("lines", grams, "0L"),
+    "line_amount": Measure("lines", line_amount, "0D"),
+    "line_products": Measure("lines", lambda a: joined(a, "product"), "''"),
+    "refund_count": Measure("refunds", size_of, "0L"),
+    "refund_amount": Measure("refunds", refund_amount, "0D"),
+    "latest_refund": Measure("refunds", latest_refund),
+    "latest_refund_category": Measure("refunds", latest_refund_category),
+    "log_count": Measure("contacts", size_of, "0L"),
+    "log_duration": Measure("contacts", duration_sum, "0L"),
+    "log_kind": Measure("contacts", lambda a, kind: matching(a, "eventType", kind), "0L"),
+    "last_log": Measure("contacts", last_entry),
+    "change_count": Measure("changes", size_of, "0L"),
+    "changes_by": Measure("changes", lambda a, who: matching(a, "updatedBy", who), "0L"),
+    "changes_by_others": Measure("changes", other_actors, "0L"),
+    "latest_change": Measure("changes", latest_change),
+    "top_keys": Measure("changes", top_keys, "''"),
+    "distinct_keys": Measure("changes", distinct_keys, "0L"),
+    "bag_total": Measure("bags", bag_total, "0L"),
+    "bag_meat": Measure("bags", bag_meat, "0L"),
+    "bag_size": Measure("bags", bag_size, "0L"),
 }

@@ -16,6 +16,10 @@ AGENT_LIST_MARKER = "AVAILABLE-AGENTS"
 def _plain_text(node: Node) -> str:
     """The unwrapped value where it is real text, not an object id or a number."""
     value = node.value()
+    if node.text:
+        # Text that opens with a letter is text: numbers, containers and flags do not.
+        letter = f"lower(substring({node.text}, 1, 1)) BETWEEN 'a' AND 'z' AND {node.text} NOT IN ('true', 'false')"
+        return f"CASE WHEN {letter} THEN {node.text} WHEN {V.kind_of(value)} = 'STRING' THEN {V.text_of(value)} END"
     return f"if({V.kind_of(value)} = 'STRING', {V.text_of(value)}, NULL)"
 
 
@@ -98,6 +102,9 @@ def has_items(node: Node) -> str:
     return f"coalesce({V.truth_of(node.raw())}, false)"
 
 
+# Functions of plain values: their slot's text is read along with the plain fields.
+OF_PLAIN_VALUES = ("entity_type", "stat_type", "stat_agent", "has_agent_list", "has_text", "text_length")
+
 DERIVED: dict[str, Callable[..., str]] = {
     "entity_type": entity_type,
     "stat_type": stat_type,

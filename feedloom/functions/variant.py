@@ -108,20 +108,53 @@ READERS: dict[str, Callable[[str], str]] = {
     "double": real_of,
     "timestamp": time_of,
     "boolean": truth_of,
+    "json": lambda value: cast_to(value, "string"),
 }
 
 
+def opens_container(text: str) -> str:
+    """Whether JSON text may stand for an array or an object."""
+    return f"substring({text}, 1, 1) IN ('[', '{{')"
+
+
+def date_text(text: str) -> str:
+    """ISO text out of ``{"$date":"..."}``; other text stays as it is."""
+    return f"if(startswith({text}, '{{\"$date\":\"'), substring({text}, 11, length({text}) - 12), {text})"
+
+
+def direct(text: str, as_type: str) -> str:
+    """A plain scalar's typed value from its text; NULL where the text alone does not tell."""
+    if as_type == "string":
+        return f"nullif({text}, '')"
+    if as_type == "json":
+        return text
+    if as_type == "timestamp":
+        return iso_time(date_text(text))
+    return f"try_cast({text} AS {as_type})"
+
+
+def undecided(text: str, as_type: str) -> str:
+    """Whether the text of a value is not enough to read it (array, wrapper, fraction, flag)."""
+    if as_type == "string":
+        return opens_container(text)
+    if as_type == "json":
+        return "false"
+    return f"({text} IS NOT NULL AND {direct(text, as_type)} IS NULL)"
+
+
 @dataclass(frozen=True)
 class Node:
     """A named slot of a document: the object that holds it and its key there.
 
-    ``read`` is the hot path.  A plain scalar is read by one or two direct VARIANT lookups
-    inside generated code.  Only where that finds nothing usable does the row take the
-    second branch, which unwraps arrays and extended JSON in a single-element lambda.
+    ``text`` names a column with the slot's text, read together with its neighbours by one
+    struct cast of the holder.  Plain scalars are read from that text alone; only a row whose
+    text does not decide (an array, an extended-JSON wrapper, a fraction in a whole-number
+    field, a flag that is no boolean) goes back to the VARIANT and looks at the value's type.
     """
 
     parent: str
     key: str
+    text: str | None = None
 
     def raw(self, as_type: str = "variant", *below: str) -> str:
         return get_keys(self.parent, self.key, *below, as_type=as_type)
@@ -130,10 +163,11 @@ class Node:
         """The slot as a list: its elements, or itself alone."""
         return f"coalesce({self.raw('array<variant>')}, array({self.raw()}))"
 
-    def _via_candidates(self, reader: Callable[[str], str]) -> str:
-        """First filled candidate, read by ``reader``; skipped where the slot is absent."""
+    def careful(self, as_type: str) -> str:
+        """First filled candidate, read by its type; skipped where the slot is absent."""
         chosen = f"slice(filter({self._candidates()}, c -> {is_filled('c')}), 1, 1)"
-        return f"if({self.raw()} IS NOT NULL, get(transform({chosen}, c -> {reader('c')}), 0), NULL)"
+        read = READERS[as_type]("c")
+        return f"if({self.raw()} IS NOT NULL, get(transform({chosen}, c -> {read}), 0), NULL)"
 
     def value(self) -> str:
         """The slot with arrays unwrapped to their first filled element."""
@@ -141,27 +175,27 @@ class Node:
         return f"if({items} IS NOT NULL, {first_filled(items)}, {self.raw()})"
 
     def read(self, as_type: str) -> str:
-        careful = self._via_candidates(READERS[as_type])
-        if as_type in ("bigint", "double"):
-            return f"coalesce({self.raw(as_type)}, {careful})"
+        text = self.text or self.raw("string")
+        careful = self.careful(as_type)
+        if as_type == "string":
+            return f"if({opens_container(text)}, {careful}, {direct(text, 'string')})"
         if as_type == "boolean":
-            plain = f"{kind_of(self.raw())} = 'BOOLEAN'"
-            return f"if({plain}, {self.raw('boolean')}, {careful})"
-        text = self.raw("string")
-        if as_type == "timestamp":
-            direct = f"coalesce({self.raw('string', '$date')}, {text})"
-            return f"coalesce({iso_time(direct)}, {careful})"
-        # Text that is empty or opens like JSON may stand for an array or a wrapper.
-        return f"if(substring({text}, 1, 1) IN ('', '[', '{{'), {careful}, {text})"
+            return (
+                f"CASE WHEN {text} IS NULL THEN NULL WHEN {text} = 'true' THEN true "
+                f"WHEN {text} = 'false' THEN {kind_of(self.raw())} = 'STRING' ELSE {careful} END"
+            )
+        return f"if({text} IS NULL, NULL, coalesce({direct(text, as_type)}, {careful}))"
 
     def present(self) -> str:
         """False for an absent slot, JSON null and an empty object."""
-        shown = f"coalesce(to_json({self.raw('map<string,variant>')}), '-')"
-        return f"(NOT {is_null(self.raw())} AND {shown} <> '{{}}')"
+        text = self.text or self.raw("string")
+        return f"coalesce({text} <> '{{}}' OR {kind_of(self.raw())} = 'STRING', false)"
 
     def filled(self) -> str:
         """Whether any candidate is more than null or empty text."""
-        return f"coalesce(exists({self._candidates()}, c -> {is_filled('c')}), false)"
+        text = self.text or self.raw("string")
+        several = f"coalesce(exists({self._candidates()}, c -> {is_filled('c')}), false)"
+        return f"if(startswith({text}, '['), {several}, coalesce({text} <> '', false))"
 
     def child(self, key: str) -> "Node":
         return Node(self.value(), key)

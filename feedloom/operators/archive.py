@@ -68,7 +68,19 @@ def write_archive(rows: DataFrame, path: str) -> None:
         touched = once.select(*parts).distinct()
         known = spark.read.parquet(path).select(*parts, "path").join(touched, parts, "left_semi")
         once = once.join(known, [*parts, "path"], "left_anti")
-    once.write.mode("append").partitionBy(*parts).parquet(path)
+    write_parts(once, path, "append", *parts)
+
+
+def write_parts(df: DataFrame, path: str, mode: str, *parts: str) -> None:
+    """Partitioned Parquet with few, evenly sized files.
+
+    The rebalance hint lets AQE cut the shuffle by measured size: small partitions share a
+    task, and a partition holding much of the data is split over many.
+    """
+    columns = [F.col(p) for p in parts]
+    df.hint("rebalance", *columns).write.mode(mode).option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(*parts).parquet(path)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -83,6 +95,4 @@ def write_collection_table(table: DataFrame, path: str, as_of: Column | None = N
     """The processed table of a collection, partitioned by operation and event date."""
     now = F.current_timestamp() if as_of is None else as_of
     dated = table.withColumn("ingest_date", F.to_date(F.coalesce("_event_ts", now)))
-    dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "_operation", "ingest_date"
-    ).parquet(path)
+    write_parts(dated, path, "overwrite", "_operation", "ingest_date")

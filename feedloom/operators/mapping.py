@@ -20,8 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.arrays import MEASURES
-from ..functions.derived import DERIVED
+from ..functions import variant as V
+from ..functions.arrays import MEASURES, STAGES
+from ..functions.derived import DERIVED, OF_PLAIN_VALUES
 from ..functions.variant import Node
 
 TYPE_BY_PREFIX = {
@@ -136,30 +137,49 @@ class Compiler:
         self.collection = collection
         self.document = document
 
-    def _holder(self, path: str) -> Node:
+    @staticmethod
+    def _is_plain(field: Field) -> bool:
+        return field.function is None or field.function in OF_PLAIN_VALUES
+
+    def _object(self, path: str) -> str:
+        """Column of the object at a path (the document itself for the empty path)."""
+        return f"_o_{_slug(path)}" if path else self.document
+
+    def _node(self, path: str, with_text: bool = False) -> Node:
         above, _, key = path.rpartition(".")
-        return Node(f"_o_{_slug(above)}" if above else self.document, key)
+        text = f"_t_{_slug(above)}.`{key}`" if with_text else None
+        return Node(self._object(above), key, text)
 
     def stages(self) -> list[list[str]]:
+        """Projections ahead of the final one: objects by depth, then texts, then typed arrays."""
         fields = self.collection.mapped
         by_depth: dict[int, list[str]] = {}
         for path in _parents([f.source for f in fields]):
-            text = f"{self._holder(path).value()} AS _o_{_slug(path)}"
+            text = f"{self._node(path).value()} AS {self._object(path)}"
             by_depth.setdefault(path.count("."), []).append(text)
-        arrays = {
-            self._array_name(f): MEASURES[f.function].stage(self._holder(f.source))
-            for f in fields
-            if f.function in MEASURES
-        }
-        staged = [f"{text} AS {name}" for name, text in arrays.items()]
-        return [by_depth[d] for d in sorted(by_depth)] + ([staged] if staged else [])
+        keys: dict[str, dict[str, None]] = {}
+        for f in fields:
+            if self._is_plain(f):
+                above, _, key = f.source.rpartition(".")
+                keys.setdefault(above, {})[key] = None
+        texts = []
+        for above, names in keys.items():
+            shape = ",".join(f"`{name}` string" for name in names)
+            texts.append(f"{V.cast_to(self._object(above), f'struct<{shape}>')} AS _t_{_slug(above)}")
+        arrays = {self._array_name(f): f for f in fields if f.function in MEASURES}
+        typed = []
+        for name, f in arrays.items():
+            stage = STAGES[MEASURES[f.function].stage]
+            texts.append(f"{stage.texts(self._node(f.source))} AS _s{name}")
+            typed.append(f"{stage.typed(self._node(f.source), f'_s{name}')} AS {name}")
+        return [by_depth[d] for d in sorted(by_depth)] + [x for x in (texts, typed) if x]
 
     @staticmethod
     def _array_name(field: Field) -> str:
-        return f"_a_{_slug(field.source)}_{MEASURES[field.function].stage.__name__}"
+        return f"_a_{_slug(field.source)}_{MEASURES[field.function].stage}"
 
     def expression(self, field: Field) -> str:
-        node = self._holder(field.source)
+        node = self._node(field.source, with_text=self._is_plain(field))
         if field.function is None:
             built = node.read(field.as_type)
         elif field.function in MEASURES:

@@ -44,7 +44,7 @@ txt_products_list                   lineItems                                lin
 val_refunds_count                   refunds                                  refund_count
 imp_total_refund_amount             refunds                                  refund_amount
 des_latest_refund_status            refunds                                  latest_refund status
-des_latest_refund_reason            refunds                                  latest_refund reason
+des_latest_refund_reason            refunds                                  latest_refund_category
 cod_pricing_factor
 cod_coupon
 cod_invoice_code                    -

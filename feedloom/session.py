@@ -72,3 +72,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         if field.dataType.typeName() == "timestamp_ntz"
     }
     return df.withColumns(casts) if casts else df
+
+
+def spread(df: DataFrame, driving: DataFrame) -> DataFrame:
+    """Spreads rows over all cores ahead of CPU-heavy work, only where the source has few splits.
+
+    ``driving`` is the plain scan that ``df`` grows with.  A large table has more splits than
+    cores and is left alone: no shuffle.  A single small file would otherwise be one task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if driving.rdd.getNumPartitions() < cores else df

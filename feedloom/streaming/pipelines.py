@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.archive import archive_rows
+from ..operators.archive import archive_rows, write_parts
 from ..operators.conform import column_measures, quality_warnings
 from ..operators.decode import decode
 from ..operators.dedup import dedup_stream
@@ -30,15 +30,15 @@ def archive_consumer(
 ) -> StreamingQuery:
     """Raw archive: each message id once within the watermark, written by collection and date.
 
-    The file sink's own log makes the output exactly-once across restarts.
+    A batch tried again after a failure replaces its own files only.
     """
     rows = archive_rows(decode(messages), as_of)
+    once = dedup_stream(rows, "path", "publish_time", delay)
     return (
-        dedup_stream(rows, "path", "publish_time", delay)
-        .writeStream.format("parquet")
-        .option("path", path)
+        once.writeStream.foreachBatch(
+            lambda batch, number: _write_part(batch, path, number, "collection", "ingest_date")
+        )
         .option("checkpointLocation", checkpoint)
-        .partitionBy("collection", "ingest_date")
         .trigger(availableNow=True)
         .start()
     )
@@ -46,10 +46,7 @@ def archive_consumer(
 
 def _write_part(df: DataFrame, path: str, batch: int, *parts: str) -> None:
     """Writes a batch's rows under its own partition: a retried batch replaces only itself."""
-    tagged = df.withColumn("_batch", F.lit(batch))
-    tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "_batch", *parts
-    ).parquet(path)
+    write_parts(df.withColumn("_batch", F.lit(batch)), path, "overwrite", "_batch", *parts)
 
 
 def route_batch(batch: DataFrame, number: int, out: str, as_of: Column | None, collections: Iterable[str]) -> None:
