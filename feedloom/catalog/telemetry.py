@@ -337,20 +337,25 @@ def _replayed(as_of: dt.datetime, checkpoints: bool = True):
     return run
 
 
-def _replay_sql(as_of: str, tier: str, suspect: str, start: str) -> str:
+def _replay_sql(as_of: str, saved: bool) -> str:
+    now = f"TIMESTAMP '{as_of}'"
+    fits = f"token_at IS NOT NULL AND {now} - token_at <= INTERVAL 48 HOUR"
     return _with(
-        f"{CHECKPOINTS}, p AS (SELECT {start} AS since FROM checkpoints WHERE ts <= TIMESTAMP '{as_of}')",
-        f"SELECT event_id, ts, event_type, '{tier}' AS tier, {suspect} AS suspect FROM events WHERE ts >= (SELECT since FROM p)",
+        f"{CHECKPOINTS}, p AS (SELECT max(ts) FILTER (ok) AS token_at, max(ts) AS last_at FROM checkpoints WHERE ts <= {now} AND {str(saved).lower()}), "
+        f"q AS (SELECT CASE WHEN {fits} THEN 'checkpoint' WHEN last_at IS NOT NULL THEN 'last_checkpoint' ELSE 'safe_window' END AS tier, "
+        f"NOT ({fits} AND {now} - token_at <= INTERVAL 24 HOUR) AS suspect, "
+        f"CASE WHEN {fits} THEN token_at WHEN last_at IS NOT NULL THEN last_at - INTERVAL 5 MINUTE ELSE {now} - INTERVAL 2 HOUR END AS since FROM p)",
+        "SELECT event_id, ts, event_type, tier, suspect FROM events, q WHERE ts >= since",
     )
 
 
-for _label, _time, _saved, _tier, _suspect, _start in (
-    ("fresh_checkpoint", "2024-01-20 12:00:00", True, "checkpoint", "false", "max(ts) FILTER (ok)"),
-    ("aged_checkpoint", "2024-02-01 06:00:00", True, "checkpoint", "true", "max(ts) FILTER (ok)"),
-    ("expired_checkpoint", "2024-02-05 00:00:00", True, "last_checkpoint", "true", "max(ts) - INTERVAL 5 MINUTE"),
-    ("safe_window", "2024-01-20 12:00:00", False, "safe_window", "true", "TIMESTAMP '2024-01-20 10:00:00'"),
+for _label, _time, _saved in (
+    ("fresh_checkpoint", "2024-01-20 12:00:00", True),
+    ("aged_checkpoint", "2024-02-01 06:00:00", True),
+    ("expired_checkpoint", "2024-02-05 00:00:00", True),
+    ("safe_window", "2024-01-20 12:00:00", False),
 ):
     QUERIES[f"replay_from_{_label}"] = (
         _replayed(dt.datetime.fromisoformat(_time), _saved),
-        _replay_sql(_time, _tier, _suspect, _start if "max" in _start else f"max({_start})"),
+        _replay_sql(_time, _saved),
     )
