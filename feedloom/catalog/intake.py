@@ -14,7 +14,7 @@ from ..operators import routing as RT
 from ..operators.mapping import flatten_columns
 from ..plans.collections import DEFAULT_COLLECTION, REGISTRY
 from ..plans.counters import COUNTERS
-from ..plans.ingest import route_messages
+from ..plans.ingest import route_messages, write_all_tables
 from ..session import prepare, table, work_dir
 from ..sources.archive import read_archive_table
 from ..sources.changefeed import read_changes, stream_changes
@@ -393,6 +393,25 @@ QUERIES["metric_lines_in_range"] = (
     f"WITH {LOG} SELECT seq, ts, service, severity, text FROM log WHERE contains(text, 'METRIC:') AND ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts < TIMESTAMP '2024-01-20 00:00:00'",
 )
 
+# --- all collections in one run -----------------------------------------------------------
+
+
+def _all_tables(spark, sf_dir):
+    """Every supported collection's table written from one decoding pass, counted per table."""
+    out = work_dir(prepare(spark), "tables")
+    written = write_all_tables(feeds.messages(spark, sf_dir, copies=False), out, work_dir(spark, "routed"), as_of())
+    rows = None
+    for name, path in written.items():
+        one = spark.read.parquet(path).select(F.lit(name).alias("collection"), F.col("_operation").alias("operation"))
+        rows = one if rows is None else rows.unionByName(one)
+    return rows.groupBy("collection", "operation").agg(F.count(F.lit(1)).alias("n"))
+
+
+QUERIES["all_tables_written"] = (
+    _all_tables,
+    f"WITH {_M} SELECT coll AS collection, op AS operation, count(*) AS n FROM d WHERE disposition = 'processed' GROUP BY ALL",
+)
+
 # --- streaming ----------------------------------------------------------------------------
 
 
@@ -406,8 +425,7 @@ def _archive_stream(spark, sf_dir):
     source = _written_messages(spark, sf_dir)
     out, mark = work_dir(spark, "raw"), work_dir(spark, "checkpoint")
     stream = stream_messages(spark, source, "parquet")
-    # A finite source read in any order: the delay spans it, so no copy counts as late.
-    ST.archive_consumer(stream, out, mark, as_of(), delay="60 days").awaitTermination()
+    ST.archive_consumer(stream, out, mark, as_of()).awaitTermination()
     return spark.read.parquet(out).select(*_ARCHIVE_COLUMNS)
 
 
@@ -419,6 +437,7 @@ def _transform_stream(spark, sf_dir):
     source = _written_messages(spark, sf_dir)
     out, mark = work_dir(spark, "tables"), work_dir(spark, "checkpoint")
     stream = stream_messages(spark, source, "parquet")
+    # A finite source read in any order: the delay spans it, so no copy counts as late.
     ST.transform_consumer(stream, out, mark, as_of(), delay="60 days").awaitTermination()
     tables = [
         spark.read.parquet(f"{out}/processed/{name}").select(

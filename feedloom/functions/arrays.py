@@ -24,8 +24,8 @@ SEPARATOR = ", "
 class Stage:
     """Two projections that turn an array slot into typed structs.
 
-    ``texts`` reads every element's fields as text in one cast.  ``typed`` converts them; an
-    array with any value that text does not decide is read again by value type, whole.
+    ``texts`` reads every element's fields as text in one cast.  ``typed`` converts them; where
+    a value's text does not decide, that value is read again by its type.
     """
 
     name: str
@@ -42,10 +42,14 @@ def _structs(name: str, /, **fields: str) -> Stage:
     def typed(node: Node, staged: str) -> str:
         items = node.raw("array<struct<" + ",".join(f"{f} variant" for f in fields) + ">>")
         by_text = ", ".join(f"'{f}', {V.direct(f'e.{f}', t)}" for f, t in fields.items())
-        by_type = ", ".join(f"'{f}', {V.READERS[t](V.unwrap(f'e.{f}'))}" for f, t in fields.items())
-        unclear = " OR ".join(V.undecided(f"e.{f}", t) for f, t in fields.items())
+        by_type = ", ".join(
+            f"'{f}', if({V.undecided(f'e.{f}', t)}, {V.READERS[t](V.unwrap(f'v.{f}'))}, {V.direct(f'e.{f}', t)})"
+            for f, t in fields.items()
+        )
+        unclear = " OR ".join(V.undecided(f"e.{f}", t) for f, t in fields.items() if t != "json")
         return (
-            f"if(exists({staged}, e -> {unclear}), transform({items}, e -> named_struct({by_type})), "
+            f"if(exists({staged}, e -> {unclear}), "
+            f"zip_with({staged}, {items}, (e, v) -> named_struct({by_type})), "
             f"transform({staged}, e -> named_struct({by_text})))"
         )
 

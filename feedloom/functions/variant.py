@@ -174,17 +174,37 @@ class Node:
         items = self.raw("array<variant>")
         return f"if({items} IS NOT NULL, {first_filled(items)}, {self.raw()})"
 
+    def _wrapped(self, as_type: str, text: str) -> str:
+        """Value of an extended-JSON wrapper, one lookup per wrapper the type knows."""
+        if as_type == "string":
+            return f"coalesce({self.raw('string', '$oid')}, {text})"
+        if as_type == "timestamp":
+            return f"timestamp_millis({self.raw('bigint', '$date', '$numberLong')})"
+        kinds = WHOLE_WRAPPERS if as_type == "bigint" else REAL_WRAPPERS + WHOLE_WRAPPERS
+        return f"coalesce({', '.join(self.raw(as_type, w) for w in kinds)})"
+
+    def _first_of_list(self, as_type: str) -> str:
+        """First filled element where its own text decides it, else by its type."""
+        filled = f"slice(filter({self.raw('array<string>')}, e -> e <> ''), 1, 1)"
+        plain = f"if({undecided('e', as_type)}, NULL, {direct('e', as_type)})"
+        return f"coalesce(get(transform({filled}, e -> {plain}), 0), {self.careful(as_type)})"
+
     def read(self, as_type: str) -> str:
         text = self.text or self.raw("string")
-        careful = self.careful(as_type)
-        if as_type == "string":
-            return f"if({opens_container(text)}, {careful}, {direct(text, 'string')})"
         if as_type == "boolean":
+            number = f"if({kind_of(self.raw())} = 'STRING', true, {self.raw('boolean')})"
             return (
-                f"CASE WHEN {text} IS NULL THEN NULL WHEN {text} = 'true' THEN true "
-                f"WHEN {text} = 'false' THEN {kind_of(self.raw())} = 'STRING' ELSE {careful} END"
+                f"CASE WHEN {text} IS NULL OR {text} = '' THEN NULL WHEN {text} = 'true' THEN true "
+                f"WHEN {text} = 'false' THEN {kind_of(self.raw())} = 'STRING' "
+                f"WHEN {opens_container(text)} THEN {self.careful(as_type)} ELSE {number} END"
             )
-        return f"if({text} IS NULL, NULL, coalesce({direct(text, as_type)}, {careful}))"
+        decided = "" if as_type == "string" else f"WHEN {direct(text, as_type)} IS NOT NULL THEN {direct(text, as_type)} "
+        otherwise = direct(text, "string") if as_type == "string" else self.careful(as_type)
+        return (
+            f"CASE WHEN {text} IS NULL THEN NULL {decided}"
+            f"WHEN startswith({text}, '{{') THEN {self._wrapped(as_type, text)} "
+            f"WHEN startswith({text}, '[') THEN {self._first_of_list(as_type)} ELSE {otherwise} END"
+        )
 
     def present(self) -> str:
         """False for an absent slot, JSON null and an empty object."""

@@ -36,12 +36,10 @@ def log_alerts(
         "change_stream_events",
         "pubsub_published",
     ]
-    minutes = counters_per_period(log, 60, names, services)
-    every = log.groupBy(F.window("ts", "60 seconds")["start"].alias("period_start")).agg(
-        F.count_if(F.col("text").contains("latency")).alias("timed")
-    )
+    timed = F.count_if(F.col("text").contains("latency")).alias("timed")
+    minutes = counters_per_period(log, 60, names, services, also=(timed,))
     since = F.lit(as_of - dt.timedelta(minutes=STALL_MINUTES))
-    totals = minutes.join(every, "period_start", "left").agg(
+    totals = minutes.agg(
         F.coalesce(F.sum("data_loss_events"), F.lit(0)).cast("double").alias("data_loss"),
         F.coalesce(F.max("format_errors"), F.lit(0)).cast("double").alias("format_errors"),
         F.coalesce(F.max("unexpected_errors"), F.lit(0)).cast("double").alias("unexpected_errors"),

@@ -64,11 +64,15 @@ def counters_per_period(
     seconds: int,
     counters: list[str] | None = None,
     services: dict[str, str] | None = None,
+    also: tuple = (),
 ) -> DataFrame:
-    """Counters per fixed period (``period_start``); tasks send one partial row per period."""
+    """Counters per fixed period (``period_start``); tasks send one partial row per period.
+
+    ``also`` adds further aggregates to the same pass.
+    """
     start = F.window("ts", f"{seconds} seconds")["start"]
     return log.groupBy(start.alias("period_start")).agg(
-        *_counts(counters or list(COUNTERS), services)
+        *_counts(counters or list(COUNTERS), services), *also
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.archive import write_collection_table, write_parts
 from ..operators.conform import conform
 from ..operators.decode import decode
 from ..operators.mapping import Collection, map_documents
@@ -47,3 +48,24 @@ def transform_collection(
 
 def collection_table(messages: DataFrame, name: str, as_of: Column | None = None) -> DataFrame:
     return transform_collection(route_messages(messages), name, as_of)
+
+
+def write_all_tables(
+    messages: DataFrame, out: str, staging: str, as_of: Column | None = None
+) -> dict[str, str]:
+    """Writes the table of every supported collection that occurs; returns name -> path.
+
+    Messages are decoded and routed once, into a Parquet table partitioned by collection in
+    ``staging`` (a folder all executors share).  Each collection then reads its own partition
+    only, so 22 collections cost two passes over the data rather than 22 decodings, and a lost
+    executor redoes a read, not the decoding.
+    """
+    spark = messages.sparkSession
+    write_parts(processed(route_messages(messages)), staging, "overwrite", "collection")
+    routed = spark.read.parquet(staging)
+    present = {r["collection"] for r in routed.select("collection").distinct().collect()}
+    written = {}
+    for name in (n for n in REGISTRY if n in present):
+        written[name] = f"{out}/{name}"
+        write_collection_table(transform_collection(routed, name, as_of), written[name], as_of)
+    return written

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.archive import archive_rows, write_parts
+from ..operators.archive import archive_rows, write_archive, write_parts
 from ..operators.conform import column_measures, quality_warnings
 from ..operators.decode import decode
 from ..operators.dedup import dedup_stream
@@ -26,18 +26,17 @@ WATERMARK = "10 minutes"
 
 
 def archive_consumer(
-    messages: DataFrame, path: str, checkpoint: str, as_of: Column | None = None, delay: str = WATERMARK
+    messages: DataFrame, path: str, checkpoint: str, as_of: Column | None = None
 ) -> StreamingQuery:
-    """Raw archive: each message id once within the watermark, written by collection and date.
+    """Raw archive: each message once, by collection and date.
 
-    A batch tried again after a failure replaces its own files only.
+    Every micro-batch goes through the batch writer, which drops copies within the batch ahead
+    of its shuffle and messages archived before by their path.  No state is kept and no copy
+    is ever too late to be recognised; a batch tried again adds nothing twice.
     """
     rows = archive_rows(decode(messages), as_of)
-    once = dedup_stream(rows, "path", "publish_time", delay)
     return (
-        once.writeStream.foreachBatch(
-            lambda batch, number: _write_part(batch, path, number, "collection", "ingest_date")
-        )
+        rows.writeStream.foreachBatch(lambda batch, _number: write_archive(batch, path))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

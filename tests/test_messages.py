@@ -103,7 +103,7 @@ def test_archive_stream_survives_a_restart(spark, sf_dir):
     source, out, mark = (work_dir(spark, n) for n in ("in", "raw", "mark"))
     feeds.messages(spark, sf_dir).write.parquet(source)
     for _ in range(2):
-        ST.archive_consumer(stream_messages(spark, source, "parquet"), out, mark, as_of(), "60 days").awaitTermination()
+        ST.archive_consumer(stream_messages(spark, source, "parquet"), out, mark, as_of()).awaitTermination()
     expected = AR.archive_rows(decode(feeds.messages(spark, sf_dir)), as_of()).select("path").distinct().count()
     stored = spark.read.parquet(out)
     assert stored.count() == expected == stored.select("path").distinct().count()
