@@ -227,7 +227,7 @@ def _shapes(spark, sf_dir):
 QUERIES["message_shapes"] = (
     _shapes,
     f"WITH b AS (SELECT *, {feeds.DOCUMENT_JSON} AS doc FROM events) "
-    "SELECT CAST(event_id AS VARCHAR) AS message_id, pos, CASE event_id % 5 WHEN 1 THEN 'leads' WHEN 3 THEN 'sysinfo' WHEN 4 THEN 'unknown' ELSE 'customers' END AS collection, "
+    "SELECT CAST(event_id AS VARCHAR) AS message_id, CAST(pos AS INTEGER) AS pos, CASE event_id % 5 WHEN 1 THEN 'leads' WHEN 3 THEN 'sysinfo' WHEN 4 THEN 'unknown' ELSE 'customers' END AS collection, "
     "CASE event_id % 5 WHEN 4 THEN 'skipped_unknown' ELSE 'processed' END AS disposition, 'unknown' AS operation, "
     "CASE WHEN pos = 1 THEN '{\"_id\":\"second\",\"n\":' || event_id || '}' WHEN event_id % 5 IN (0, 2) THEN doc "
     "WHEN event_id % 5 = 1 THEN '{\"_id\":\"b' || event_id || '\",\"collection\":\"leads\"}' "

@@ -139,7 +139,9 @@ def undecided(text: str, as_type: str) -> str:
         return opens_container(text)
     if as_type == "json":
         return "false"
-    return f"({text} IS NOT NULL AND {direct(text, as_type)} IS NULL)"
+    unread = f"({text} IS NOT NULL AND {direct(text, as_type)} IS NULL)"
+    # A failed number cast is costly, so text that cannot be a number is not tried.
+    return unread if as_type == "timestamp" else f"({opens_container(text)} OR {unread})"
 
 
 @dataclass(frozen=True)
@@ -198,12 +200,16 @@ class Node:
                 f"WHEN {text} = 'false' THEN {kind_of(self.raw())} = 'STRING' "
                 f"WHEN {opens_container(text)} THEN {self.careful(as_type)} ELSE {number} END"
             )
-        decided = "" if as_type == "string" else f"WHEN {direct(text, as_type)} IS NOT NULL THEN {direct(text, as_type)} "
-        otherwise = direct(text, "string") if as_type == "string" else self.careful(as_type)
+        first, last = "", direct(text, "string")
+        if as_type == "timestamp":
+            first = f"WHEN {direct(text, as_type)} IS NOT NULL THEN {direct(text, as_type)} "
+            last = self.careful(as_type)
+        elif as_type != "string":
+            last = f"coalesce({direct(text, as_type)}, {self.careful(as_type)})"
         return (
-            f"CASE WHEN {text} IS NULL THEN NULL {decided}"
+            f"CASE WHEN {text} IS NULL THEN NULL {first}"
             f"WHEN startswith({text}, '{{') THEN {self._wrapped(as_type, text)} "
-            f"WHEN startswith({text}, '[') THEN {self._first_of_list(as_type)} ELSE {otherwise} END"
+            f"WHEN startswith({text}, '[') THEN {self._first_of_list(as_type)} ELSE {last} END"
         )
 
     def present(self) -> str:
