@@ -140,9 +140,11 @@ class Sample:
         for key, item in tree.items():
             text = self._object(item, depth + 1) if isinstance(item, dict) else item
             members.append(f"concat('\"{key}\":', {text})")
-        whole = "concat('{', concat_ws(',', " + ", ".join(members) + "), '}')"
+        inside = "concat_ws(',', " + ", ".join(members) + ")"
+        if depth == 0:
+            return "concat('{', " + inside + ", '}')"
         # Every sixth row wraps its sub-objects in a one-element array.
-        return whole if depth == 0 else f"if(k % 6 = 5, concat('[', {whole}, ']'), {whole})"
+        return f"concat(if(k % 6 = 5, '[{{', '{{'), {inside}, if(k % 6 = 5, '}}]', '}}'))"
 
     def documents(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         """k, id, t and the document's JSON text."""
