@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from feedloom.llm.common import slices, words
 
 MIN_WORDS, WINDOW, MOST_REPEATED = 50, 3, 50
-SPAN, COVER, LONGEST = 8, 0.3, 50
+SPAN, COVER, LONGEST = 8, 0.4, 50
 SYMBOLS, SPACES = "#*$%&|<>", " \t\n\x0b\x0c\r"
 RESULT = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, covered_words long, longest_repeat long"
 
