@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from feedloom.llm.common import Memo, slices
 
-SAMPLE, FIT, THRESHOLD, OFFENDING = 24_000, 3_000, 0.3, 0.5
+SAMPLE, FIT, THRESHOLD, OFFENDING = 24_000, 1_200, 0.3, 0.5
 STEMS, ROUNDS, RIDGE, CHAIN = 400, 40, 0.05, 64
 TOKEN = re.compile(r"[^\W\d_]+")
 
