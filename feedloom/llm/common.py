@@ -76,7 +76,11 @@ def unstage(*tables: DataFrame) -> None:
 
 
 def reachable(spark: SparkSession) -> SparkSession:
-    """Puts this package on the path of Python workers whose driver imported it by a path of its own."""
+    """Puts this package on the path of Python workers whose driver imported it by a path of its own.
+
+    Arrow batches are kept to few rows as well, since a row here is a whole text.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     if root not in (paths := env.get("PYTHONPATH", "").split(os.pathsep)):
         env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])

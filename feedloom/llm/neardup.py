@@ -57,7 +57,7 @@ def signature(of: np.ndarray) -> np.ndarray:
 
 
 def _word_hash():
-    return Memo(xxhash.xxh3_64_intdigest).__getitem__
+    return Memo(xxhash.xxh3_64_intdigest, 100_000).__getitem__
 
 
 def sign(docs: DataFrame) -> DataFrame:

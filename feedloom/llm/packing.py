@@ -47,7 +47,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.split = regex.compile(PARTS).findall
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cache = Memo(self.whole)
+        self.cache = Memo(self.whole, 300_000)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()

@@ -175,7 +175,9 @@ def fit(rows: list[tuple[str, int]], offending: set[str]) -> Field:
     for w in number:
         for f in features(w):
             count[f] = count.get(f, 0) + 1
-    names = {f: i for i, f in enumerate(f for f, c in count.items() if c > 1 or f[0] == "=")}
+    often = np.bincount(token, minlength=len(number))
+    count |= {f"={w}": int(often[i]) - 1 for w, i in number.items()}  # words seen three times at least
+    names = {f: i for i, f in enumerate(f for f, c in count.items() if c > 1)}
     pairs = np.array([(i, names[f]) for w, i in number.items() for f in features(w) if f in names], np.int64).reshape(-1, 2)
     theta, bias, move, start = np.zeros(len(names)), -4.0, np.zeros((2, 2)), -4.0
     paired = ~first
@@ -226,8 +228,8 @@ def tag(docs: DataFrame, field: Field | None, *keep: str) -> DataFrame:
         model = sent.value
         if model:
             get, bias = model.weights.get, model.weights[""]
-            odds = Memo(lambda w: bias + sum(get(f, 0.0) for f in features(w)))
-        for part in slices(batches):
+            odds = Memo(lambda w: bias + sum(get(f, 0.0) for f in features(w)), 150_000)
+        for part in slices(batches, limit=1 << 20):
             texts = part.column("text").to_pylist()
             scores, spans = [0.0] * len(texts), [[] for _ in texts]
             if model:
