@@ -64,7 +64,7 @@ def terms(text: str) -> list[str]:
 
 
 def term_array(text: Column) -> Column:
-    cut = F.transform(F.split(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), SPLIT), lambda t: F.trim(F.lit(".-"), t))
+    cut = F.transform(F.split(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), SPLIT), lambda t: F.trim(t, F.lit(".-")))
     return F.filter(cut, lambda t: t != "")
 
 

@@ -161,7 +161,7 @@ def intervals(chosen: list[tuple[tuple[int, ...], int]], capacity: int = CAPACIT
 
 def ranked(cut: DataFrame) -> DataFrame:
     """``rank`` within each length, from 0: counts by (length, salt) give offsets, and each salt ranks its own."""
-    salts = max(4, 1 << (max(1, cut.count()).bit_length() // 2 - 1))  # about half the square root of the pieces
+    salts = max(4, 1 << max(0, cut.count().bit_length() // 2 - 1))  # about half the square root of the pieces
     salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
     counts = salted.groupBy("length", "salt").agg(F.count("piece").alias("n"))
     before = counts.select("length", "salt", F.coalesce(F.sum("n").over(W.partitionBy("length").orderBy("salt").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
