@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.grouping import bounded_chunks
 from ..plans.ingest import collection_table
 from ..session import prepare, table
 from .samples import Sample, as_of, rounded
@@ -260,10 +259,10 @@ _add(
 
 LINE_ORDER = "l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate, l_returnflag, l_linestatus"
 PAYMENT_BASE = f"""
-SELECT CAST(o_orderkey AS BIGINT) AS k, 'pay_' || CAST(o_orderkey AS STRING) AS id, o_orderdate AS t,
+SELECT CAST(o_orderkey AS BIGINT) AS k, 'pay_' || CAST(o_orderkey AS STRING) || CASE WHEN grain > 0 THEN '-' || grain ELSE '' END AS id, o_orderdate AS t,
        o_orderpriority AS s, o_totalprice AS x, o_orderstatus, o_custkey, items.*
 FROM {{orders}} LEFT JOIN (
-  SELECT l_orderkey, count(*) AS n_lines, sum(CAST(l_quantity AS BIGINT)) AS qty,
+  SELECT l_orderkey, l_linenumber // 1000 AS grain, count(*) AS n_lines, sum(CAST(l_quantity AS BIGINT)) AS qty,
          sum(CAST(l_quantity AS BIGINT) * (l_suppkey % 40 * 25)) AS grams,
          sum(CAST(l_quantity AS BIGINT) * l_extendedprice) AS amount,
          string_agg('part-' || l_partkey, ', ' ORDER BY {LINE_ORDER}) AS products,
@@ -272,23 +271,21 @@ FROM {{orders}} LEFT JOIN (
          sum(l_extendedprice) FILTER (l_returnflag = 'R') AS refunded,
          first(l_linestatus ORDER BY l_shipdate DESC, {LINE_ORDER}) FILTER (l_returnflag = 'R') AS refund_status,
          first('reason-' || l_suppkey % 5 ORDER BY l_shipdate DESC, {LINE_ORDER}) FILTER (l_returnflag = 'R') AS refund_reason
-  FROM {{lineitem}} GROUP BY l_orderkey) items ON o_orderkey = l_orderkey
+  FROM {{lineitem}} GROUP BY l_orderkey, l_linenumber // 1000) items ON o_orderkey = l_orderkey
 """
 
 
 def _payment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with their lines as a sorted array; an order with very many lines becomes several documents."""
+    """Orders with their lines as a sorted array, one document for every thousand line numbers of an order."""
     columns = [c.strip() for c in LINE_ORDER.split(",")]
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", *columns)
-    grouped = (
-        bounded_chunks(lines, ["l_orderkey"])
-        .groupBy("l_orderkey", "chunk")
-        .agg(F.array_sort(F.collect_list(F.struct(*columns))).alias("lines"))
+    grouped = lines.groupBy("l_orderkey", F.expr("CAST(l_linenumber AS BIGINT) DIV 1000").alias("grain")).agg(
+        F.array_sort(F.collect_list(F.struct(*columns))).alias("lines")
     )
     orders = table(spark, sf_dir, "orders")
     return orders.join(grouped, orders.o_orderkey == grouped.l_orderkey, "left").selectExpr(
         "CAST(o_orderkey AS BIGINT) AS k",
-        "concat('pay_', o_orderkey, if(chunk > 0, concat('-', chunk), '')) AS id",
+        "concat('pay_', o_orderkey, if(grain > 0, concat('-', grain), '')) AS id",
         "o_orderdate AS t",
         "o_orderpriority AS s",
         "o_totalprice AS x",
@@ -364,13 +361,13 @@ _add(
 # --- contacts, retention, notifications ---------------------------------------------------
 
 CONTACT_BASE = """
-SELECT conv_id AS k, 'contact_' || CAST(conv_id AS STRING) AS id,
+SELECT conv_id AS k, 'contact_' || CAST(conv_id AS STRING) || CASE WHEN turn // 1000 > 0 THEN '-' || (turn // 1000) ELSE '' END AS id,
        TIMESTAMP '2023-01-01 00:00:00' + INTERVAL '1' HOUR * CAST(conv_id % 100000 AS INT) AS t, 'conv' AS s, 1.0 AS x,
        count(*) AS n_logs, sum(length(text)) AS duration,
        count(*) FILTER (turn % 3 = 0) AS calls, count(*) FILTER (turn % 3 = 1) AS emails,
        count(*) FILTER (turn % 3 = 2) AS texts,
        max(turn) AS last_turn, arg_max(role, turn) AS last_role, arg_max(length(text), turn) AS last_length
-FROM {conversations} GROUP BY conv_id
+FROM {conversations} GROUP BY conv_id, turn // 1000
 """
 
 
@@ -378,12 +375,12 @@ def _contact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").selectExpr(
         "conv_id", "turn", "role", "length(text) AS chars"
     )
-    grouped = bounded_chunks(turns, ["conv_id"]).groupBy("conv_id", "chunk").agg(
+    grouped = turns.groupBy("conv_id", F.expr("turn DIV 1000").alias("grain")).agg(
         F.array_sort(F.collect_list(F.struct("turn", "role", "chars"))).alias("turns")
     )
     return grouped.selectExpr(
         "conv_id AS k",
-        "concat('contact_', conv_id, if(chunk > 0, concat('-', chunk), '')) AS id",
+        "concat('contact_', conv_id, if(grain > 0, concat('-', grain), '')) AS id",
         "TIMESTAMP '2023-01-01 00:00:00' + INTERVAL '1' HOUR * CAST(conv_id % 100000 AS INT) AS t",
         "'conv' AS s",
         "1D AS x",
@@ -499,10 +496,10 @@ _add(
 ENTITY_IDS = "CASE user_id % 9 WHEN 0 THEN 'ord_' WHEN 1 THEN 'cust_' WHEN 2 THEN 'pay_' WHEN 3 THEN 'lead_' WHEN 4 THEN 'lds_' WHEN 5 THEN 'sub_' WHEN 6 THEN 'del_' WHEN 7 THEN 'order' ELSE 'x_' END"
 
 CHANGE_BASE = f"""
-SELECT g.user_id AS k, {ENTITY_IDS.replace('user_id', 'g.user_id')} || CAST(g.user_id AS STRING) AS id,
+SELECT g.user_id AS k, {ENTITY_IDS.replace('user_id', 'g.user_id')} || CAST(g.user_id AS STRING) || CASE WHEN g.grain > 0 THEN '-' || g.grain ELSE '' END AS id,
        TIMESTAMP '2023-01-01 00:00:00' + INTERVAL '1' HOUR * CAST(g.user_id % 100000 AS INT) AS t, 'log' AS s, 1.0 AS x,
        g.*, ranked.top_keys
-FROM (SELECT user_id, count(*) AS n, count(*) FILTER (event_id % 3 = 0) AS by_system,
+FROM (SELECT user_id, event_id // 10000 AS grain, count(*) AS n, count(*) FILTER (event_id % 3 = 0) AS by_system,
              count(*) FILTER (event_id % 3 = 1) AS by_api, count(*) FILTER (event_id % 3 = 2) AS by_user,
              count(DISTINCT event_type) FILTER (event_id % 13 <> 0) AS n_keys,
              max(ts) FILTER (event_id % 17 <> 0) AS last_ts,
@@ -512,23 +509,23 @@ FROM (SELECT user_id, count(*) AS n, count(*) FILTER (event_id % 3 = 0) AS by_sy
              first(CASE WHEN event_id % 13 = 0 THEN NULL ELSE event_type END
                    ORDER BY CASE WHEN event_id % 17 = 0 THEN 1 ELSE 0 END,
                             CASE WHEN event_id % 17 = 0 THEN NULL ELSE ts END DESC, ts, event_id) AS last_key
-      FROM {{events}} GROUP BY user_id) g
+      FROM {{events}} GROUP BY user_id, event_id // 10000) g
 LEFT JOIN (
-  SELECT user_id, string_agg(event_type, ', ' ORDER BY place) AS top_keys FROM (
-    SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, min(struct_pack(a := ts, b := event_id))) AS place
-    FROM {{events}} WHERE event_id % 13 <> 0 GROUP BY user_id, event_type) WHERE place <= 3 GROUP BY user_id) ranked
-ON g.user_id = ranked.user_id
+  SELECT user_id, grain, string_agg(event_type, ', ' ORDER BY place) AS top_keys FROM (
+    SELECT user_id, event_id // 10000 AS grain, event_type, row_number() OVER (PARTITION BY user_id, event_id // 10000 ORDER BY count(*) DESC, min(struct_pack(a := ts, b := event_id))) AS place
+    FROM {{events}} WHERE event_id % 13 <> 0 GROUP BY user_id, event_id // 10000, event_type) WHERE place <= 3 GROUP BY user_id, grain) ranked
+ON g.user_id = ranked.user_id AND g.grain = ranked.grain
 """
 
 
 def _change_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type")
-    grouped = bounded_chunks(events, ["user_id"]).groupBy("user_id", "chunk").agg(
+    grouped = events.groupBy("user_id", F.expr("event_id DIV 10000").alias("grain")).agg(
         F.array_sort(F.collect_list(F.struct("ts", "event_id", "event_type"))).alias("entries")
     )
     return grouped.selectExpr(
         "user_id AS k",
-        f"concat({ENTITY_IDS}, user_id, if(chunk > 0, concat('-', chunk), '')) AS id",
+        f"concat({ENTITY_IDS}, user_id, if(grain > 0, concat('-', grain), '')) AS id",
         "TIMESTAMP '2023-01-01 00:00:00' + INTERVAL '1' HOUR * CAST(user_id % 100000 AS INT) AS t",
         "'log' AS s",
         "1D AS x",
@@ -646,7 +643,7 @@ def transform_query(name: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         prepare(spark)
         rows = collection_table(SAMPLES[name].messages(spark, sf_dir), name, as_of())
-        return rounded(rows.drop("_event_ts", "_message_id", "_correlation_id"))
+        return rounded(rows.drop("_event_ts", "_message_id", "_pos", "_correlation_id"))
 
     run.__name__ = "transform_" + name.replace("-", "_")
     return run

@@ -355,7 +355,7 @@ QUERIES["drift_summary"] = (
 QUERIES["recovered_table"] = (
     lambda spark, sf_dir: CF.recover(_drifted(spark, sf_dir), TARGET)[0],
     "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, CAST(NULL AS BIGINT) AS c_name, CAST(trunc(c_acctbal) AS BIGINT) AS c_acctbal, true AS c_mktsegment, "
-    "CAST(NULL AS VARCHAR) AS c_phone, CAST(NULL AS TIMESTAMP) AS c_since, CASE WHEN c_custkey % 3 = 0 THEN CAST(c_nationkey AS DOUBLE) END AS c_rank FROM customer",
+    "CAST(NULL AS VARCHAR) AS c_phone, CASE WHEN c_custkey % 4 = 0 THEN TIMESTAMP '2024-01-01 00:00:00' END AS c_since, CASE WHEN c_custkey % 3 = 0 THEN CAST(c_nationkey AS DOUBLE) END AS c_rank FROM customer",
 )
 QUERIES["recovery_summary"] = (
     lambda spark, sf_dir: CF.recover(_drifted(spark, sf_dir), TARGET)[1],
@@ -369,7 +369,7 @@ def _mapped_quality(spark, sf_dir):
     from ..plans.ingest import transform_collection
     routed = route_messages(feeds.messages(prepare(spark), sf_dir, copies=False))
     rows = transform_collection(routed, "customers", as_of())
-    measures = CF.column_measures(rows.drop("_event_ts", "_message_id", "_correlation_id"), REGISTRY["customers"].schema, ("_operation",))
+    measures = CF.column_measures(rows.drop("_event_ts", "_message_id", "_pos", "_correlation_id"), REGISTRY["customers"].schema, ("_operation",))
     return measures.filter(F.col("field").isin("pk_client", "des_email", "val_legacy_id", "des_subscription_status", "val_dogs_count"))
 
 
@@ -397,9 +397,10 @@ QUERIES["metric_lines_in_range"] = (
 
 
 def _all_tables(spark, sf_dir):
-    """Every supported collection's table written from one decoding pass, counted per table."""
+    """Every supported collection's table, written twice from messages with redelivered copies, counted per table."""
     out = work_dir(prepare(spark), "tables")
-    written = write_all_tables(feeds.messages(spark, sf_dir, copies=False), out, work_dir(spark, "routed"), as_of())
+    for _ in range(2):
+        written = write_all_tables(feeds.messages(spark, sf_dir), out, work_dir(spark, "routed"), as_of())
     rows = None
     for name, path in written.items():
         one = spark.read.parquet(path).select(F.lit(name).alias("collection"), F.col("_operation").alias("operation"))
@@ -412,6 +413,20 @@ QUERIES["all_tables_written"] = (
     f"WITH {_M} SELECT coll AS collection, op AS operation, count(*) AS n FROM d WHERE disposition = 'processed' GROUP BY ALL",
 )
 
+
+
+def _row_conservation(spark, sf_dir):
+    """Where every routed document of a batch ended: a table, the skipped or the rejected rows."""
+    out = work_dir(prepare(spark), "tables")
+    written = write_all_tables(feeds.messages(spark, sf_dir), out, work_dir(spark, "routed"), as_of())
+    rows = spark.read.parquet(f"{out}/_skipped").select("disposition").unionByName(spark.read.parquet(f"{out}/_rejected").select("disposition"))
+    for path in written.values():
+        rows = rows.unionByName(spark.read.parquet(path).select(F.lit("processed").alias("disposition")))
+    return rows.groupBy("disposition").agg(F.count(F.lit(1)).alias("n"))
+
+
+QUERIES["row_conservation"] = (_row_conservation, f"WITH {_M} SELECT disposition, count(*) AS n FROM d GROUP BY ALL")
+
 # --- streaming ----------------------------------------------------------------------------
 
 

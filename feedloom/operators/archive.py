@@ -92,7 +92,26 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_collection_table(table: DataFrame, path: str, as_of: Column | None = None) -> None:
-    """The processed table of a collection, partitioned by operation and event date."""
+    """Adds rows to the processed table of a collection, partitioned by operation and event date.
+
+    A document counts once, by message id and position (without an id: by its whole row), within
+    the batch and against the partitions it touches, of which only those two columns are read.
+    Earlier batches of a day stay, and a batch written again adds nothing.
+    """
     now = F.current_timestamp() if as_of is None else as_of
     dated = table.withColumn("ingest_date", F.to_date(F.coalesce("_event_ts", now)))
-    write_parts(dated, path, "overwrite", "_operation", "ingest_date")
+    parts, keys = ["_operation", "ingest_date"], ["_message_id", "_pos"]
+    whole = F.sha2(F.to_json(F.struct(*table.columns)), 256)
+    named = dated.withColumn("_message_id", F.coalesce(F.nullif("_message_id", F.lit("")), F.concat(F.lit("sha256:"), whole)))
+    once = first_per_key(named, keys, parts)
+    if table_exists(table.sparkSession, path):
+        touched = once.select(*parts).distinct()
+        known = table.sparkSession.read.parquet(path).select(*parts, *keys).join(touched, parts, "left_semi")
+        once = once.join(known.select(*keys), keys, "left_anti")
+    write_parts(once, path, "append", *parts)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes intermediate data that nothing reads any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -192,17 +192,17 @@ def drift_summary(report: DataFrame) -> DataFrame:
 
 
 def recover(df: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
-    """Saves what converts: columns losing any value in the cast become NULL columns.
+    """Saves what converts: a value that does not becomes NULL in its own row, the others stay.
 
-    Returns the table and a one-row summary (recovery_mode, dropped_columns,
-    original_column_count).  Which columns to drop is one aggregated row.
+    Returns the table and a one-row summary of the columns that lost values (recovery_mode,
+    dropped_columns, original_column_count).
     """
     bad = [
         row["field"]
         for row in column_measures(df, schema).filter(F.col("lost") > 0).select("field").collect()
     ]
     order = [f.name for f in schema.fields if f.name in bad]
-    table = conform(df.drop(*bad), schema, keep)
+    table = conform(df, schema, keep)
     kept = len(schema.fields) - len(order)
     summary = df.sparkSession.range(1).select(
         F.lit(bool(order)).alias("recovery_mode"),

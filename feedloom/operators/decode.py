@@ -12,7 +12,7 @@ FORMAT_ERROR = "format_error"
 UNEXPECTED_ERROR = "unexpected_error"
 
 
-def _parse(payload: str) -> str:
+def parse_payload(payload: str) -> str:
     """VARIANT of a UTF-8 JSON payload, NULL where it is neither."""
     text = f"CAST({payload} AS string)"
     return f"try_parse_json(if(is_valid_utf8({text}), {text}, NULL))"
@@ -36,7 +36,7 @@ def decode(messages: DataFrame) -> DataFrame:
             "publishTime AS publish_time",
         )
         .selectExpr("*", "try_to_binary(data, 'base64') AS payload")
-        .selectExpr("*", f"{_parse('payload')} AS event")
+        .selectExpr("*", f"{parse_payload('payload')} AS event")
         .selectExpr(
             "*",
             f"if({inner_data} IS NOT NULL, named_struct("
@@ -50,7 +50,7 @@ def decode(messages: DataFrame) -> DataFrame:
             "coalesce(data, '') = '' AS no_data",
             "CASE WHEN coalesce(data, '') = '' THEN NULL WHEN inner_message IS NOT NULL "
             "THEN inner_message.payload ELSE payload END AS payload",
-            f"if(inner_message IS NOT NULL, {_parse('inner_message.payload')}, event) AS event",
+            f"if(inner_message IS NOT NULL, {parse_payload('inner_message.payload')}, event) AS event",
         )
         # The generator is a fence: a later filter on its columns stays above it.  Pushed
         # below, it would decode and parse every message once more.

@@ -1,4 +1,4 @@
-"""Grouping and ordering that stay balanced when one key holds much of the data."""
+"""Ordering that stays balanced when one key holds much of the data."""
 
 from __future__ import annotations
 
@@ -7,31 +7,6 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 
-GROUP_LIMIT = 5000
-
-
-def bounded_chunks(df: DataFrame, keys: list[str], limit: int = GROUP_LIMIT) -> DataFrame:
-    """Adds ``chunk`` so that no (keys, chunk) group holds much more than ``limit`` rows.
-
-    Group sizes are counted with map-side combining.  Only keys above the limit come back for
-    the join, so in ordinary data that side is empty and AQE drops the join; in skewed data AQE
-    picks broadcast or a skew-split join by measured size.  Rows of a hot key are dealt out
-    round-robin.
-    """
-    hot = (
-        df.groupBy(*keys)
-        .count()
-        .filter(F.col("count") > limit)
-        .select(*keys, F.ceil(F.col("count") / limit).alias("_chunks"))
-    )
-    dealt = F.pmod(F.col("_row"), F.col("_chunks"))
-    return (
-        df.withColumn("_row", F.monotonically_increasing_id())
-        .join(hot, keys, "left")
-        .withColumn("chunk", F.coalesce(dealt, F.lit(0)).cast("int"))
-        .drop("_row", "_chunks")
-    )
-
 
 def ordered_blocks(df: DataFrame, *order: str, blocks: int | None = None) -> DataFrame:
     """Range-partitions rows by a total order and tags each with its block number.

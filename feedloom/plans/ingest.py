@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.archive import write_collection_table, write_parts
+from ..operators.archive import remove, table_exists, write_collection_table, write_parts
 from ..operators.conform import conform
 from ..operators.decode import decode
+from ..operators.dedup import first_per_key
 from ..operators.mapping import Collection, map_documents
-from ..operators.routing import dispatch, processed, route
+from ..operators.routing import dispatch, processed, rejected, route, skipped
 from .collections import DEFAULT_COLLECTION, REGISTRY
 
-CARRIED = ("_operation", "_event_ts", "_message_id", "_correlation_id")
+CARRIED = ("_operation", "_event_ts", "_message_id", "_pos", "_correlation_id")
 SECRET_COLUMNS = ("txt_password_hash", "cod_verification_token")
 
 
@@ -36,6 +39,7 @@ def transform_collection(
         F.col("operation").alias("_operation"),
         F.col("event_ts").alias("_event_ts"),
         F.col("message_id").alias("_message_id"),
+        F.col("pos").alias("_pos"),
         F.col("correlation_id").alias("_correlation_id"),
     )
     mapped = map_documents(documents, collection, as_of=as_of, keep=CARRIED)
@@ -55,17 +59,30 @@ def write_all_tables(
 ) -> dict[str, str]:
     """Writes the table of every supported collection that occurs; returns name -> path.
 
+    Every routed document ends in exactly one place, once per (message id, position): a collection's
+    table, ``_skipped`` or ``_rejected`` (both below ``out``, by disposition).
+
     Messages are decoded and routed once, into a Parquet table partitioned by collection in
     ``staging`` (a folder all executors share).  Each collection then reads its own partition
     only, so 22 collections cost two passes over the data rather than 22 decodings, and a lost
     executor redoes a read, not the decoding.
     """
     spark = messages.sparkSession
-    write_parts(processed(route_messages(messages)), staging, "overwrite", "collection")
+    staging = f"{staging}/{uuid.uuid4().hex}"  # of this run alone
+    named = F.coalesce(F.nullif("message_id", F.lit("")), F.sha2(F.to_json("document"), 256), F.lit(""))
+    once = first_per_key(route_messages(messages).withColumn("_name", named), ["_name", "pos"], ["disposition"])
+    write_parts(once.drop("_name"), staging, "overwrite", "collection")
     routed = spark.read.parquet(staging)
-    present = {r["collection"] for r in routed.select("collection").distinct().collect()}
+    present = {r["collection"] for r in processed(routed).select("collection").distinct().collect()}
     written = {}
     for name in (n for n in REGISTRY if n in present):
         written[name] = f"{out}/{name}"
         write_collection_table(transform_collection(routed, name, as_of), written[name], as_of)
+    for label, rows in (("_skipped", skipped(routed)), ("_rejected", rejected(routed))):
+        kept = rows.withColumn("document", F.to_json("document"))
+        if table_exists(spark, path := f"{out}/{label}"):
+            seen = spark.read.parquet(path).select("message_id", "pos").distinct()
+            kept = kept.join(seen, ["message_id", "pos"], "left_anti")
+        write_parts(kept, path, "append", "disposition")
+    remove(spark, staging)
     return written

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -44,13 +45,15 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    Clusters name it in ``spark.checkpoint.dir``; only where that is unset (tests,
-    local runs) is a temporary folder made.
+    Clusters name it in ``spark.checkpoint.dir``, and without it nothing is written there.  Only a
+    local session, whose executors share the driver's disk, gets a temporary folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not named:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="feedloom-")
         spark.conf.set("spark.checkpoint.dir", named)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -153,3 +153,27 @@ def test_processed_table_partitions(spark, sf_dir):
     back = spark.read.parquet(out)
     assert back.count() == SAMPLES["coupons"].documents(spark, sf_dir).count()
     assert {"_operation", "ingest_date"} <= set(back.columns)
+
+
+def test_second_batch_of_a_day_adds_to_the_table(spark, sf_dir, tmp_path):
+    from feedloom.catalog.documents import SAMPLES
+    from feedloom.plans.ingest import collection_table
+
+    out, first = str(tmp_path / "t"), SAMPLES["coupons"].messages(spark, sf_dir)
+    table = collection_table(first, "coupons", as_of())
+    half = table.filter("crc32(_message_id) % 2 = 0")
+    for part in (half, table, table):
+        AR.write_collection_table(part, out, as_of())
+    assert spark.read.parquet(out).count() == table.count() > half.count() > 0
+
+
+def test_replay_of_a_payload_that_is_not_utf8(spark, tmp_path):
+    from feedloom.sources.archive import FILE_NAME, read_archive_table
+
+    rows = spark.createDataFrame([("m_1", "c", "insert", None, bytearray(b"\xff{"))], "message_id string, correlation_id string, operation string, publish_time timestamp, payload binary")
+    rows.write.parquet(str(tmp_path / "raw"))
+    assert [r["decode_error"] for r in read_archive_table(spark, str(tmp_path / "raw")).collect()] == ["bad_request"]
+    import re
+
+    assert re.search(FILE_NAME, "raw/c/p/insert_20240101_000000_proj_77.json")[1] == "proj_77"
+    assert re.search(FILE_NAME, "raw/c/p/update_2024-01-01T00-00-00_proj_77.json")[1] == "proj_77"

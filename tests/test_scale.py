@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from feedloom.catalog import feeds
 from feedloom.catalog.documents import SAMPLES
 from feedloom.operators.dedup import first_per_key
-from feedloom.operators.grouping import bounded_chunks, ordered_blocks
+from feedloom.operators.grouping import ordered_blocks
 from feedloom.plans import metrics as M
 from feedloom.plans.ingest import collection_table
 from feedloom.session import table
@@ -17,16 +17,6 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_hot_key_is_dealt_into_bounded_chunks(spark):
-    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
-    chunked = bounded_chunks(rows, ["k"], limit=100)
-    sizes = chunked.groupBy("k", "chunk").count()
-    assert chunked.count() == 3000
-    assert sizes.agg(F.max("count")).first()[0] <= 130
-    assert sizes.filter("k <> 7").agg(F.max("chunk")).first()[0] == 0
-    assert sizes.filter("k = 7").count() >= 10
-
-
 def test_ordered_blocks_follow_the_order_whatever_the_keys(spark):
     rows = spark.range(2000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("t"), "id")
     blocks = ordered_blocks(rows, "t", "id", blocks=6)
