@@ -54,6 +54,6 @@ def test_query_matches_sql(spark, sf_dir, name):
         path = os.path.join(sf_dir, f"{t}.parquet")
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{path}/*.parquet'" if os.path.isdir(path) else f"CREATE VIEW {t} AS SELECT * FROM '{path}'")
     run, sql = queries.QUERIES[name]
-    want, got = con.execute(sql).fetch_arrow_table().to_pylist(), [r.asDict() for r in run(spark, sf_dir).collect()]
+    want, got = con.execute(sql).to_arrow_table().to_pylist(), [r.asDict() for r in run(spark, sf_dir).collect()]
     key = lambda r: tuple(str(r[c]) for c in sorted(r))
     assert sorted(map(key, got)) == sorted(map(key, want))
