@@ -1,6 +1,6 @@
 """License scans: TF-IDF cosines of notices to templates, then inheritance from the nearest directory.
 
-A file's lines are compared with the templates as sparse vectors.  A template's rarest terms are its anchors: so many
+A file's lines are compared with the templates as sparse vectors.  A template's heaviest terms are its anchors: so many
 that a line without any of them cannot reach the threshold, however it is composed, so lines are passed over by one
 array test and nothing is lost.  For the lines left, dot products run over their terms and the templates' weights, which
 are constants of the plan (their number is fixed here), so scanning moves no row.
@@ -27,6 +27,8 @@ from feedloom.llm.common import stage, word_count
 
 THRESHOLD = 0.7
 SPLIT = r"[^a-z0-9.+-]+"
+#: Words of ordinary prose, no terms here.
+COMMON = set("a all and any are as at be by can for from has in is it may not of on or that the this to under use with you".split())
 #: Customary notices, by SPDX name.
 TEMPLATES = [
     ("MIT", "Released under the MIT License."),
@@ -59,13 +61,13 @@ TEMPLATES = [
 
 
 def terms(text: str) -> list[str]:
-    """Terms of a text, as ``term_array`` has them."""
-    return [t for t in (x.strip(".-") for x in re.split(SPLIT, text.lower())) if t]
+    """Terms of a text, as ``term_array`` has them; words of ordinary prose are none."""
+    return [t for t in (x.strip(".-") for x in re.split(SPLIT, text.lower())) if t and t not in COMMON]
 
 
 def term_array(text: Column) -> Column:
     cut = F.transform(F.split(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), SPLIT), lambda t: F.trim(t, F.lit(".-")))
-    return F.filter(cut, lambda t: t != "")
+    return F.filter(cut, lambda t: (t != "") & ~t.isin(sorted(COMMON)))
 
 
 def model(templates=TEMPLATES, threshold: float = THRESHOLD) -> tuple[list[tuple[int, str, str, float, float]], float, set[str]]:
@@ -100,14 +102,18 @@ def notice_lines(text: Column, templates=TEMPLATES, threshold: float = THRESHOLD
     shapes = F.array(*[F.struct(F.lit(name).alias("license"), _weights([(t, u) for k, _, t, _, u in rows if k == i]).alias("unit")) for i, (name, _) in enumerate(templates)])
     lines = F.filter(F.transform(F.split(text, "\n"), term_array), lambda ts: F.arrays_overlap(ts, F.array(*map(F.lit, sorted(anchors)))))
 
-    def score(ts: Column) -> Column:
+    def measured(ts: Column) -> Column:
         counted = F.transform(F.array_distinct(ts), lambda t: F.size(F.filter(ts, lambda x: x == t)) * weigh(t))
-        norm = F.sqrt(F.aggregate(counted, F.lit(0.0), lambda s, w: s + w * w))
-        dot = lambda unit: F.aggregate(ts, F.lit(0.0), lambda s, t: s + weigh(t) * F.coalesce(unit[t], F.lit(0.0)))
-        best = F.array_min(F.transform(shapes, lambda k: F.struct((-F.round(dot(k["unit"]) / norm, 9)).alias("order"), k["license"].alias("license"))))
-        return F.struct((-best["order"]).alias("cosine"), best["license"].alias("license"), F.size(ts).alias("terms"))
+        return F.struct(ts.alias("terms"), F.sqrt(F.aggregate(counted, F.lit(0.0), lambda s, w: s + w * w)).alias("norm"))
 
-    return F.filter(F.transform(lines, score), lambda x: x["cosine"] >= threshold)
+    def score(line: Column) -> Column:
+        dot = lambda unit: F.aggregate(line["terms"], F.lit(0.0), lambda s, t: s + weigh(t) * F.coalesce(unit[t], F.lit(0.0)))
+        best = F.array_min(F.transform(shapes, lambda k: F.struct((-F.round(dot(k["unit"]) / line["norm"], 9)).alias("order"), k["license"].alias("license"))))
+        return F.struct(best.alias("best"), F.size(line["terms"]).alias("terms"))
+
+    scored = F.transform(F.transform(lines, measured), score)
+    named = F.transform(scored, lambda x: F.struct((-x["best"]["order"]).alias("cosine"), x["best"]["license"].alias("license"), x["terms"].alias("terms")))
+    return F.filter(named, lambda x: x["cosine"] >= threshold)
 
 
 def parent(path: Column) -> Column:
