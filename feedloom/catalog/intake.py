@@ -18,7 +18,7 @@ from ..plans.ingest import route_messages, write_all_tables
 from ..session import prepare, table, work_dir
 from ..sources.archive import read_archive_table
 from ..sources.changefeed import read_changes, stream_changes
-from ..sources.messages import MESSAGE_SCHEMA, stream_messages
+from ..sources.messages import stream_messages
 from ..sources.metric_log import metric_lines
 from ..streaming import pipelines as ST
 from . import feeds
@@ -452,16 +452,15 @@ def _transform_stream(spark, sf_dir):
     source = _written_messages(spark, sf_dir)
     out, mark = work_dir(spark, "tables"), work_dir(spark, "checkpoint")
     stream = stream_messages(spark, source, "parquet")
-    # A finite source read in any order: the delay spans it, so no copy counts as late.
-    ST.transform_consumer(stream, out, mark, as_of(), delay="60 days").awaitTermination()
+    ST.transform_consumer(stream, out, work_dir(spark, "routed"), mark, as_of()).awaitTermination()
     tables = [
-        spark.read.parquet(f"{out}/processed/{name}").select(
+        spark.read.parquet(f"{out}/{name}").select(
             F.lit(name).alias("sink"), F.col("_operation").alias("operation")
         )
         for name in ("customers", "leads", "changelogs", "sysusers", "users-metadata")
     ]
     for label in ("skipped", "rejected"):
-        tables.append(spark.read.parquet(f"{out}/{label}").select(F.lit(label).alias("sink"), "operation"))
+        tables.append(spark.read.parquet(f"{out}/_{label}").select(F.lit(label).alias("sink"), "operation"))
     rows = tables[0]
     for other in tables[1:]:
         rows = rows.unionByName(other)
@@ -475,15 +474,6 @@ QUERIES["transform_stream"] = (
 )
 
 
-def _counter_stream(spark, sf_dir):
-    path = work_dir(prepare(spark), "log")
-    feeds.metric_log(spark, sf_dir).write.parquet(path)
-    out, mark = work_dir(spark, "counters"), work_dir(spark, "checkpoint")
-    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
-    ST.counter_stream(stream, out, mark, 300, delay="60 days").awaitTermination()
-    return spark.read.parquet(out)
-
-
 def _complete_counter_stream(spark, sf_dir):
     """Windowed counters of a stream, all periods (complete mode keeps open ones too)."""
     path = work_dir(prepare(spark), "log")
@@ -510,7 +500,3 @@ QUERIES["counter_stream"] = (
     f"WITH {LOG} SELECT {_bucket('ts', 3600)} AS period_start, " + ", ".join(f"count(*) FILTER ({p}) AS {n}" for n, p in _DUCK_COUNTERS.items())
     + " FROM log GROUP BY 1",
 )
-
-
-def schema_of_messages() -> T.StructType:
-    return MESSAGE_SCHEMA

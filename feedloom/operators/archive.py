@@ -91,6 +91,21 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS"))
 
 
+def write_new_rows(rows: DataFrame, path: str, keys: list[str], parts: list[str]) -> None:
+    """Appends rows whose keys (nulls are equal) are neither written nor met before in the batch.
+
+    Only the keys of the partitions that the batch touches are read.
+    """
+    once = first_per_key(rows, keys, parts)
+    if table_exists(rows.sparkSession, path):
+        touched = once.select(*parts).distinct()
+        known = rows.sparkSession.read.schema(rows.schema).parquet(path).select(*parts, *keys).join(touched, parts, "left_semi")
+        known = known.select(*[F.col(k).alias(f"_seen{k}") for k in keys])
+        same = [F.col(k).eqNullSafe(F.col(f"_seen{k}")) for k in keys]
+        once = once.join(known, same, "left_anti")
+    write_parts(once, path, "append", *parts)
+
+
 def write_collection_table(table: DataFrame, path: str, as_of: Column | None = None) -> None:
     """Adds rows to the processed table of a collection, partitioned by operation and event date.
 
@@ -103,12 +118,7 @@ def write_collection_table(table: DataFrame, path: str, as_of: Column | None = N
     parts, keys = ["_operation", "ingest_date"], ["_message_id", "_pos"]
     whole = F.sha2(F.to_json(F.struct(*table.columns)), 256)
     named = dated.withColumn("_message_id", F.coalesce(F.nullif("_message_id", F.lit("")), F.concat(F.lit("sha256:"), whole)))
-    once = first_per_key(named, keys, parts)
-    if table_exists(table.sparkSession, path):
-        touched = once.select(*parts).distinct()
-        known = table.sparkSession.read.parquet(path).select(*parts, *keys).join(touched, parts, "left_semi")
-        once = once.join(known.select(*keys), keys, "left_anti")
-    write_parts(once, path, "append", *parts)
+    write_new_rows(named, path, keys, parts)
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -19,9 +19,9 @@ def parse_payload(payload: str) -> str:
 
 
 def decode(messages: DataFrame) -> DataFrame:
-    """Messages to ``message_id, attributes, publish_time, payload, event, decode_error, has_payload``.
+    """Messages to ``message_id, attributes, publish_time, data, payload, event, decode_error, has_payload``.
 
-    ``payload`` keeps the untouched bytes, ``event`` is their VARIANT form.  A payload that
+    ``data`` is the text as it was delivered, ``payload`` keeps the untouched bytes, ``event`` is their VARIANT form.  A payload that
     itself is a wrapped message is opened once more, and its id and attributes win.
     ``decode_error`` is NULL, ``bad_request`` (no data, or no JSON) or ``format_error``.
     """
@@ -47,6 +47,7 @@ def decode(messages: DataFrame) -> DataFrame:
             "coalesce(inner_message.id, message_id) AS message_id",
             "coalesce(inner_message.attributes, attributes) AS attributes",
             "publish_time",
+            "data",
             "coalesce(data, '') = '' AS no_data",
             "CASE WHEN coalesce(data, '') = '' THEN NULL WHEN inner_message IS NOT NULL "
             "THEN inner_message.payload ELSE payload END AS payload",
@@ -58,6 +59,7 @@ def decode(messages: DataFrame) -> DataFrame:
             "message_id",
             "attributes",
             "publish_time",
+            "data",
             "payload",
             "event",
             f"inline(array(named_struct('decode_error', CASE WHEN no_data THEN '{BAD_REQUEST}' "
@@ -67,13 +69,26 @@ def decode(messages: DataFrame) -> DataFrame:
     )
 
 
+def named_messages(decoded: DataFrame) -> DataFrame:
+    """Gives messages without an id the digest of their payload (of what was delivered, where there is none).
+
+    Different messages without an id thus stay apart, and a copy of one is still known as such.
+    """
+    content = F.coalesce(F.base64("payload"), F.nullif("data", F.lit("")), F.to_json("attributes"), F.lit(""))
+    own = F.concat(F.lit("sha256:"), F.sha2(content, 256))
+    return decoded.withColumn("message_id", F.coalesce(F.nullif("message_id", F.lit("")), own))
+
+
 def is_retryable(error_type: Column) -> Column:
     """Format errors are acknowledged; anything else is delivered again."""
     return ~error_type.isin(BAD_REQUEST, FORMAT_ERROR)
 
 
 def error_records(decoded: DataFrame, bucket: str, as_of: Column | None = None) -> DataFrame:
-    """The error-context record of every message that could not be decoded."""
+    """The error-context record of every message that could not be decoded.
+
+    ``original_event`` holds the message as delivered, so that it can be sent again.
+    """
     at = F.current_timestamp() if as_of is None else as_of
     failed = decoded.filter(F.col("decode_error").isNotNull())
     return failed.select(
@@ -82,7 +97,7 @@ def error_records(decoded: DataFrame, bucket: str, as_of: Column | None = None)
         .alias("error"),
         F.col("decode_error").alias("error_type"),
         at.alias("timestamp"),
-        F.to_json(F.struct("message_id", "attributes")).alias("original_event"),
+        F.to_json(F.struct(F.col("message_id").alias("messageId"), "attributes", "data", F.col("publish_time").alias("publishTime"))).alias("original_event"),
         F.lit(bucket).alias("bucket"),
         F.concat(
             F.lit("errors/"), F.date_format(at, "yyyy-MM-dd"), F.lit("/"),

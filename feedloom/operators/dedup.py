@@ -16,20 +16,3 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     """
     ranked = W.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
-
-
-def dedup_stream(
-    df: DataFrame, key: str, time: str, delay: str = "10 minutes", salts: int = 16
-) -> DataFrame:
-    """Streaming form: one row per key within the watermark delay.
-
-    Copies are first dropped per (key, input partition), then per key.  A message delivered
-    over and over is thus spread over ``salts`` state partitions, and at most ``salts`` of its
-    copies meet in one.
-    """
-    marked = df.withWatermark(time, delay).withColumn("_salt", F.spark_partition_id() % salts)
-    return (
-        marked.dropDuplicatesWithinWatermark([key, "_salt"])
-        .drop("_salt")
-        .dropDuplicatesWithinWatermark([key])
-    )

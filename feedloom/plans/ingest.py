@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.archive import remove, table_exists, write_collection_table, write_parts
-from ..operators.conform import conform
-from ..operators.decode import decode
+from ..operators.archive import remove, write_collection_table, write_new_rows, write_parts
+from ..operators.conform import conform, drift_report
+from ..operators.decode import decode, named_messages
 from ..operators.dedup import first_per_key
 from ..operators.mapping import Collection, map_documents
 from ..operators.routing import dispatch, processed, rejected, route, skipped
@@ -55,12 +57,19 @@ def collection_table(messages: DataFrame, name: str, as_of: Column | None = None
 
 
 def write_all_tables(
-    messages: DataFrame, out: str, staging: str, as_of: Column | None = None
+    messages: DataFrame,
+    out: str,
+    staging: str,
+    as_of: Column | None = None,
+    collections: Iterable[str] = tuple(REGISTRY),
+    run: str | None = None,
 ) -> dict[str, str]:
-    """Writes the table of every supported collection that occurs; returns name -> path.
+    """Writes the table of every collection that occurs; returns name -> path.
 
     Every routed document ends in exactly one place, once per (message id, position): a collection's
-    table, ``_skipped`` or ``_rejected`` (both below ``out``, by disposition).
+    table, ``_skipped`` or ``_rejected`` (both below ``out``, by disposition and date).  A ``run``
+    (a micro-batch, say) also leaves the warnings about its rows in ``_drift``; the same run again
+    replaces them.
 
     Messages are decoded and routed once, into a Parquet table partitioned by collection in
     ``staging`` (a folder all executors share).  Each collection then reads its own partition
@@ -68,21 +77,25 @@ def write_all_tables(
     executor redoes a read, not the decoding.
     """
     spark = messages.sparkSession
+    now = F.current_timestamp() if as_of is None else as_of
     staging = f"{staging}/{uuid.uuid4().hex}"  # of this run alone
-    named = F.coalesce(F.nullif("message_id", F.lit("")), F.sha2(F.to_json("document"), 256), F.lit(""))
-    once = first_per_key(route_messages(messages).withColumn("_name", named), ["_name", "pos"], ["disposition"])
-    write_parts(once.drop("_name"), staging, "overwrite", "collection")
-    routed = spark.read.parquet(staging)
+    routed = route(dispatch(named_messages(decode(messages))), REGISTRY, DEFAULT_COLLECTION)
+    write_parts(first_per_key(routed, ["message_id", "pos"], ["disposition"]), staging, "overwrite", "collection")
+    routed = spark.read.schema(routed.schema).parquet(staging)
     present = {r["collection"] for r in processed(routed).select("collection").distinct().collect()}
     written = {}
-    for name in (n for n in REGISTRY if n in present):
+    for name in (n for n in collections if n in present):
         written[name] = f"{out}/{name}"
-        write_collection_table(transform_collection(routed, name, as_of), written[name], as_of)
+        table = transform_collection(routed, name, as_of)
+        if run is not None:  # mapped once for the table and its measures
+            table = table.persist(StorageLevel.MEMORY_AND_DISK)
+        write_collection_table(table, written[name], as_of)
+        if run is not None:
+            report = drift_report(table.drop(*CARRIED), REGISTRY[name].schema, name, as_of)
+            write_parts(report.withColumn("_run", F.lit(run)), f"{out}/_drift", "overwrite", "_run", "collection")
+            table.unpersist()
     for label, rows in (("_skipped", skipped(routed)), ("_rejected", rejected(routed))):
-        kept = rows.withColumn("document", F.to_json("document"))
-        if table_exists(spark, path := f"{out}/{label}"):
-            seen = spark.read.parquet(path).select("message_id", "pos").distinct()
-            kept = kept.join(seen, ["message_id", "pos"], "left_anti")
-        write_parts(kept, path, "append", "disposition")
+        kept = rows.withColumn("document", F.to_json("document")).withColumn("ingest_date", F.to_date(F.coalesce("event_ts", now)))
+        write_new_rows(kept, f"{out}/{label}", ["message_id", "pos"], ["disposition", "ingest_date"])
     remove(spark, staging)
     return written

@@ -8,19 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.archive import archive_rows, write_archive, write_parts
-from ..operators.conform import column_measures, quality_warnings
+from ..operators.archive import archive_rows, write_archive
 from ..operators.decode import decode
-from ..operators.dedup import dedup_stream
-from ..operators.routing import processed, rejected, skipped
 from ..plans.collections import REGISTRY
 from ..plans.counters import COUNTERS, predicate
-from ..plans.ingest import CARRIED, route_messages, transform_collection
+from ..plans.ingest import write_all_tables
 
 WATERMARK = "10 minutes"
 
@@ -43,57 +39,23 @@ def archive_consumer(
     )
 
 
-def _write_part(df: DataFrame, path: str, batch: int, *parts: str) -> None:
-    """Writes a batch's rows under its own partition: a retried batch replaces only itself."""
-    write_parts(df.withColumn("_batch", F.lit(batch)), path, "overwrite", "_batch", *parts)
-
-
-def route_batch(batch: DataFrame, number: int, out: str, as_of: Column | None, collections: Iterable[str]) -> None:
-    """One micro-batch to its collection tables, skipped, rejected and drift sinks.
-
-    Messages are decoded once and kept for the batch's writes; a first aggregation says which
-    collections occur, so only those are transformed.
-    """
-    routed = route_messages(batch).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        present = {
-            r["collection"]
-            for r in processed(routed).groupBy("collection").count().collect()
-        }
-        for name in sorted(present & set(collections)):
-            table = transform_collection(routed, name, as_of)
-            written = f"{out}/processed/{name}"
-            _write_part(table, written, number, "_operation")
-            # Null shares come from the columns just written, not from mapping twice.
-            stored = batch.sparkSession.read.parquet(f"{written}/_batch={number}").drop(*CARRIED)
-            warnings = quality_warnings(column_measures(stored, REGISTRY[name].schema))
-            _write_part(warnings.withColumn("collection", F.lit(name)), f"{out}/drift", number, "collection")
-        for label, rows in (("skipped", skipped(routed)), ("rejected", rejected(routed))):
-            kept = rows.withColumn("document", F.to_json("document"))
-            _write_part(kept, f"{out}/{label}", number)
-    finally:
-        routed.unpersist()
-
-
 def transform_consumer(
     messages: DataFrame,
     out: str,
+    staging: str,
     checkpoint: str,
     as_of: Column | None = None,
     collections: Iterable[str] = tuple(REGISTRY),
-    delay: str = WATERMARK,
 ) -> StreamingQuery:
-    """Collection tables from a message stream, each message id once within the watermark.
+    """Collection tables, skipped, rejected and drift rows from a message stream, each message once.
 
-    The id that counts is the outer message id, known before any decoding.
+    A micro-batch is written as a batch is, into the same tables: a document already there by its
+    (inner) message id and position is left out, however late its copy comes, and a batch tried
+    again adds nothing.  No state is kept and no row is ever too late.
     """
-    keyed = messages.withColumn(
-        "_key", F.coalesce("message.messageId", "message.message_id", "messageId", F.uuid())
-    )
-    once = dedup_stream(keyed, "_key", "publishTime", delay).drop("_key")
     return (
-        once.writeStream.foreachBatch(
-            lambda batch, number: route_batch(batch, number, out, as_of, collections)
+        messages.writeStream.foreachBatch(
+            lambda batch, number: write_all_tables(batch, out, staging, as_of, collections, f"batch-{number}")
         )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -1,5 +1,6 @@
 """Decoding, routing, conservation, archive sources and the streaming sinks."""
 
+import datetime as dt
 import json
 
 import pytest
@@ -10,7 +11,7 @@ from feedloom.catalog import feeds
 from feedloom.catalog.samples import as_of
 from feedloom.operators import archive as AR
 from feedloom.operators import conform as CF
-from feedloom.operators.decode import decode, is_retryable
+from feedloom.operators.decode import decode, error_records, is_retryable
 from feedloom.operators.envelope import to_envelope
 from feedloom.operators.routing import processed, rejected, skipped
 from feedloom.plans.collections import REGISTRY
@@ -177,3 +178,30 @@ def test_replay_of_a_payload_that_is_not_utf8(spark, tmp_path):
 
     assert re.search(FILE_NAME, "raw/c/p/insert_20240101_000000_proj_77.json")[1] == "proj_77"
     assert re.search(FILE_NAME, "raw/c/p/update_2024-01-01T00-00-00_proj_77.json")[1] == "proj_77"
+
+
+def test_transform_stream_takes_late_rows_and_drops_late_copies(spark):
+    source, out, mark = (work_dir(spark, n) for n in ("in", "tables", "mark"))
+
+    def deliver(*numbers_and_days):
+        rows = [
+            {"message": {"data": encoded(envelope("coupons", {"_id": f"d{n}"})), "messageId": f"m{n}"}, "publishTime": dt.datetime(2024, 1, day)}
+            for n, day in numbers_and_days
+        ]
+        rows += [{"message": {"data": "%%%", "messageId": ""}}, {"message": {"data": "%%", "messageId": ""}}]
+        spark.createDataFrame(rows, MESSAGE_SCHEMA).coalesce(1).write.mode("append").parquet(source)
+        ST.transform_consumer(stream_messages(spark, source, "parquet"), out, work_dir(spark, "routed"), mark, as_of()).awaitTermination()
+
+    deliver((1, 20), (2, 20), (2, 20))
+    deliver((1, 20), (3, 2))
+    assert sorted(r[0] for r in spark.read.parquet(f"{out}/coupons").select("_message_id").collect()) == ["m1", "m2", "m3"]
+    assert spark.read.parquet(f"{out}/_rejected").count() == 2
+    drift = spark.read.parquet(f"{out}/_drift")
+    assert {r[0] for r in drift.select("_run").distinct().collect()} == {"batch-0", "batch-1"}
+    assert drift.filter("timestamp IS NULL OR collection <> 'coupons'").count() == 0
+
+
+def test_an_error_record_holds_the_message_as_delivered(spark):
+    record = error_records(decode(messages(spark, ["no json"])), "archive", as_of()).first()
+    event = json.loads(record["original_event"])
+    assert event["messageId"] == "m0" and event["data"] == encoded("no json")
