@@ -10,7 +10,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.session import table, work_dir
@@ -91,6 +91,11 @@ def source(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFra
     return table(reachable(spark), sf_dir, name)
 
 
+def drawn(label: str, share: float) -> Column:
+    """Whether a row's id is in a sample of ``share`` of the ids; fine enough for shares of any corpus."""
+    return F.pmod(F.xxhash64(F.lit(label), "doc_id"), F.lit(1 << 40)) < round(share * (1 << 40))
+
+
 def word_count(column: str = "text"):
     """Number of words, 0 for null."""
     return F.coalesce(F.regexp_count(F.col(column), F.lit(WORD)), F.lit(0)).cast("long")

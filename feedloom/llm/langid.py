@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import letters, slices
+from feedloom.llm.common import drawn, letters, slices
 
 SAMPLE, MIN_SHARE, CONTRAST, HASHES, SLOTS = 20_000, 2e-5, 0.05, 3, 1 << 19
 UNKNOWN = "und"
@@ -65,7 +65,7 @@ def training_counts(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """Trigram counts by language of the training sample."""
     rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     share = min(1.0, sample / max(1, rows.count()))
-    chosen = rows.filter(F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(1 << 20)) < round(share * (1 << 20)))
+    chosen = rows.filter(drawn("langid", share))
 
     def count(batches):
         for part in slices(batches, rows=2048):

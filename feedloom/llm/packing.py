@@ -195,11 +195,11 @@ def packed(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, ids: bool = True) -> DataFrame:
     """Tokenises, cuts and packs documents: one row per piece (see ``pieces`` and ``packed``)."""
-    cut = stage(pieces(docs, path or tokenizer_path(), capacity, end_id, ids), "pack-pieces")
+    made = pieces(docs, path or tokenizer_path(), capacity, end_id, ids)
     if not ids:
-        return packed(cut, capacity)
-    slim = packed(cut.drop("ids").withColumn("row", F.monotonically_increasing_id()), capacity).select("row", "sequence_id", "offset")
-    return cut.withColumn("row", F.monotonically_increasing_id()).join(slim, "row").drop("row")
+        return packed(stage(made, "pack-pieces"), capacity)
+    cut = stage(made.withColumn("row", F.monotonically_increasing_id()), "pack-pieces")  # written, so both readers see one number
+    return cut.join(packed(cut.drop("ids"), capacity).select("row", "sequence_id", "offset"), "row").drop("row")
 
 
 def sequences(placed: DataFrame) -> DataFrame:

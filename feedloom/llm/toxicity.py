@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import Memo, slices
+from feedloom.llm.common import Memo, drawn, slices
 
 SAMPLE, FIT, THRESHOLD, OFFENDING = 24_000, 1_200, 0.3, 0.5
 STEMS, ROUNDS, RIDGE, CHAIN = 400, 40, 0.05, 64
@@ -116,15 +116,11 @@ def labelled(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
     """doc_id, text and toxic of a sample of about ``sample`` training rows; the bounded sample is what is broadcast."""
     rows = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     share = min(1.0, sample / max(1, rows.count()))
-    chosen = rows.filter(_rank() < round(share * (1 << 20))).select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
+    chosen = rows.filter(drawn("toxicity", share)).select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
     few = chosen.limit(2 * sample)  # the share above gives about ``sample``; twice that is a bound for the broadcast
     return docs.select("doc_id", "text").join(F.broadcast(few), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "toxic")
 
 
-def _rank() -> Column:
-    return F.pmod(F.xxhash64(F.lit("toxicity"), "doc_id"), F.lit(1 << 20))
-
-
 def _stem_counts(batches):
     for part in slices(batches, rows=4096):
         counts: dict[str, list[int]] = {}
@@ -215,8 +211,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int =
     fitted = []
     for kind in (0, 1):
         share = min(1.0, most / 2 / max(1, counts.get(kind, 0)))
-        fine = F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1 << 20))
-        fitted += [(r["text"], kind) for r in rows.filter((F.col("toxic") == kind) & (fine < round(share * (1 << 20)))).select("doc_id", "text").orderBy("doc_id", "text").limit(most).collect()]
+        fitted += [(r["text"], kind) for r in rows.filter((F.col("toxic") == kind) & drawn("fit", share)).select("doc_id", "text").orderBy("doc_id", "text").limit(most).collect()]
     return fit(fitted, offending)
 
 
