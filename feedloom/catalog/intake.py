@@ -474,29 +474,17 @@ QUERIES["transform_stream"] = (
 )
 
 
-def _complete_counter_stream(spark, sf_dir):
-    """Windowed counters of a stream, all periods (complete mode keeps open ones too)."""
-    path = work_dir(prepare(spark), "log")
+def _counter_stream(spark, sf_dir):
+    """Counters of a streamed log, in the periods that its watermark has closed."""
+    path, out, mark = (work_dir(prepare(spark), n) for n in ("log", "counters", "checkpoint"))
     feeds.metric_log(spark, sf_dir).write.parquet(path)
     stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
-    name = "counters_" + work_dir(spark, "q").rsplit("-", 1)[-1]
-    counted = stream.groupBy(F.window("ts", "3600 seconds")["start"].alias("period_start")).agg(
-        *[F.expr(f"count_if({ST.predicate(c)})").alias(c) for c in COUNTERS]
-    )
-    out = work_dir(spark, name)
-    query = (
-        counted.writeStream.outputMode("complete")
-        .foreachBatch(lambda df, n: df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(out))
-        .option("checkpointLocation", work_dir(spark, "checkpoint"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    ST.counter_stream(stream, out, mark, 3600).awaitTermination()
     return spark.read.parquet(out)
 
 
 QUERIES["counter_stream"] = (
-    _complete_counter_stream,
+    _counter_stream,
     f"WITH {LOG} SELECT {_bucket('ts', 3600)} AS period_start, " + ", ".join(f"count(*) FILTER ({p}) AS {n}" for n, p in _DUCK_COUNTERS.items())
-    + " FROM log GROUP BY 1",
+    + f" FROM log GROUP BY 1 HAVING {_bucket('ts', 3600)} + INTERVAL 1 HOUR <= (SELECT max(ts) FROM log) - INTERVAL 10 MINUTE",
 )
