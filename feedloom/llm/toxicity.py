@@ -13,7 +13,8 @@ Learned from rows whose crc32(id) mod 4 is not 2; of these a sample of about ``S
 ``FIT`` of them fit the field (documented bounds, chosen by a hash of the id).  A score reads the text alone.
 
 Defined results: null text and text without letters have the score of a text without offending tokens; without labels of
-both kinds every score is 0; a null id is not held out; labels that repeat an id count once each.
+both kinds every score is 0; a null id is not held out; rows and labels that repeat an id count once for each kind of
+label, by their first text.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import Memo, drawn, slices
+from feedloom.llm.common import Memo, drawn, slices, stage
 
 SAMPLE, FIT, THRESHOLD, OFFENDING = 24_000, 1_200, 0.3, 0.5
 STEMS, ROUNDS, RIDGE, CHAIN = 400, 40, 0.05, 64
@@ -113,12 +114,16 @@ def summary(chance: np.ndarray) -> tuple[float, float]:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """doc_id, text and toxic of a sample of about ``sample`` training rows; the bounded sample is what is broadcast."""
+    """doc_id, text and toxic of a sample of about ``sample`` training rows, written once; its ids are what is broadcast.
+
+    Rows that repeat an id and label count as one, so that copies of a labelled row do not enlarge the sample.
+    """
     rows = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     share = min(1.0, sample / max(1, rows.count()))
     chosen = rows.filter(drawn("toxicity", share)).select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
     few = chosen.limit(2 * sample)  # the share above gives about ``sample``; twice that is a bound for the broadcast
-    return docs.select("doc_id", "text").join(F.broadcast(few), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "toxic")
+    found = docs.select("doc_id", "text").join(F.broadcast(few), F.col("doc_id") == F.col("_id"))
+    return stage(found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("doc_id", "text", "toxic"), "toxicity-sample")
 
 
 def _stem_counts(batches):
