@@ -13,7 +13,6 @@ from ..operators import envelope as E
 from ..operators import routing as RT
 from ..operators.mapping import flatten_columns
 from ..plans.collections import DEFAULT_COLLECTION, REGISTRY
-from ..plans.counters import COUNTERS
 from ..plans.ingest import route_messages, write_all_tables
 from ..session import prepare, table, work_dir
 from ..sources.archive import read_archive_table
