@@ -4,7 +4,8 @@ Labels are per document, so tokens are labelled first: over a sample of labelled
 and clean texts each stem (a word, or its first three to six letters) occurs; stems that hardly occur in clean texts
 are taken one by one, each for the toxic texts that none before it explains.  A token of a toxic text is labelled
 toxic if it has such a stem.  The field has weights for words, stems, endings and transitions and is fitted by gradient
-ascent of the token likelihood; a logistic curve over the marginals of a text's offending tokens gives its score.
+ascent of the token likelihood; a logistic curve over the marginals of a text's offending tokens, at the odds of the
+labels in the sample, gives its score.
 
 Forward and backward messages run over all tokens of a slice at once: the chain is cut into blocks, whose matrix
 products are computed side by side, so whole texts are scored exactly, with resets where texts begin.
@@ -120,7 +121,7 @@ def labelled(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
     """
     rows = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     share = min(1.0, sample / max(1, rows.count()))
-    chosen = rows.filter(drawn("toxicity", share)).select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
+    chosen = rows.filter(drawn("toxicity", share)).select(F.col("doc_id").alias("_id"), (F.col("toxic").cast("int") != 0).cast("int").alias("toxic"))
     few = chosen.limit(2 * sample)  # the share above gives about ``sample``; twice that is a bound for the broadcast
     found = docs.select("doc_id", "text").join(F.broadcast(few), F.col("doc_id") == F.col("_id"))
     return stage(found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("doc_id", "text", "toxic"), "toxicity-sample")
@@ -161,8 +162,8 @@ def offending_stems(sample: DataFrame, bound: int = 4 * SAMPLE) -> set[str]:
     return chosen
 
 
-def fit(rows: list[tuple[str, int]], offending: set[str]) -> Field:
-    """The field and the curve, from (text, toxic) rows."""
+def fit(rows: list[tuple[str, int]], offending: set[str], odds: float = 1.0) -> Field:
+    """The field and the curve, from (text, toxic) rows; ``odds`` are those of toxic to clean texts where it is applied."""
     number: dict[str, int] = {}
     lists = [[number.setdefault(w, len(number)) for w in TOKEN.findall((t or "").lower())] for t, _ in rows]
     toxic = np.array([y for _, y in rows])
@@ -202,6 +203,7 @@ def fit(rows: list[tuple[str, int]], offending: set[str]) -> Field:
         p = 1 / (1 + np.exp(-np.clip(seen_ @ curve, -30, 30)))
         slope = seen_.T @ (weight * (toxic - p)) - 0.02 * curve
         curve = curve + np.linalg.solve((seen_ * (weight * p * (1 - p))[:, None]).T @ seen_ + 0.02 * np.eye(3), slope)
+    curve[0] += math.log(odds)  # the curve was fitted with both kinds weighing the same
     weights = {f: float(theta[i]) for f, i in names.items() if abs(theta[i]) > 0.01}
     return Field({**weights, "": bias}, move, start, curve)
 
@@ -217,7 +219,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int =
     for kind in (0, 1):
         share = min(1.0, most / 2 / max(1, counts.get(kind, 0)))
         fitted += [(r["text"], kind) for r in rows.filter((F.col("toxic") == kind) & drawn("fit", share)).select("doc_id", "text").orderBy("doc_id", "text").limit(most).collect()]
-    return fit(fitted, offending)
+    return fit(fitted, offending, counts[1] / counts[0])
 
 
 def tag(docs: DataFrame, field: Field | None, *keep: str) -> DataFrame:
