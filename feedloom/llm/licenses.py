@@ -5,27 +5,41 @@ that a line without any of them cannot reach the threshold, however it is compos
 array test and nothing is lost.  For the lines left, dot products run over their terms and the templates' weights, which
 are constants of the plan (their number is fixed here), so scanning moves no row.
 
-A file with a notice has that license.  A licence file also speaks for its directory: files without a notice take the
+Notices that wrap over lines or stand inside long ones are found in the whole text's terms: windows as long as a
+template are compared with it, so line breaks, paragraphs and comment marks do not count.  Windows of short notices
+begin at every term of the notice; those of full license texts (``texts``) at every eighth of their length.  A window
+counts if it reaches the threshold and holds more than half of the template's distinct terms; terms a template does not
+have weigh as unknown ones.  Only templates whose terms in the file could reach the threshold at all are slid over it,
+and only windows whose norm without repeats allows it are measured, so again nothing is lost.
+
+A file with a notice has that license.  A licence file is one whose terms as a whole (without copyright lines) reach the
+threshold with a notice or a full text, or that full texts hold at least ``HELD`` of.  It also speaks for its directory: files without a notice take the
 license of the nearest directory above them that has one.  That is looked up per directory, not per file: ancestors of
 distinct directories are joined with licensed directories by path, and files then join their directory.
 
-Defined results: null text has no notice; null path lies in the root directory ``""``; of several notices the highest
-cosine counts, ties by license name; of several licence files of one directory the highest cosine, ties by license
+Defined results: null text has no notice; null path lies in the root directory ``""``; a full text goes before notices,
+and of several of one kind the highest cosine counts, ties by license name; of several licence files of one directory the highest cosine, ties by license
 name; repeated rows are judged each; no rows, no result.  Native: DataFrame functions only.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections import Counter
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import stage, word_count
+from feedloom.llm.common import stage
 
 THRESHOLD = 0.7
+#: Share of a licence file's terms that full texts hold, where it is a collection of several.
+HELD = 0.5
+#: Windows of a full text begin at every such part of its length.
+STEPS = 8
 SPLIT = r"[^a-z0-9.+-]+"
 #: Words of ordinary prose, no terms here.
 COMMON = set("a all and any are as at be by can for from has in is it may not of on or that the this to under use with you".split())
@@ -59,6 +73,18 @@ TEMPLATES = [
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 
+#: Notices that are looked for in windows alone, beside the templates: they differ from those by the version or name only.
+HEADERS = [
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License"),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License"),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License"),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License"),
+]
+#: Full license texts by SPDX name; that of AGPL-3.0 is GPL-3.0's with its name.
+BODIES = [(p.stem, p.read_text("utf-8")) for p in sorted((Path(__file__).parent / "texts").glob("*.txt"))]
+#: Lines that name the owner are no part of a license.
+OWNER = r"(?im)^[^a-z0-9\n]*(copyright|\(c\)|\u00a9|all rights reserved)[^\n]*$"
+
 
 def terms(text: str) -> list[str]:
     """Terms of a text, as ``term_array`` has them; words of ordinary prose are none."""
@@ -96,11 +122,15 @@ def _weights(pairs: list[tuple[str, float]]) -> Column:
 
 def notice_lines(text: Column, templates=TEMPLATES, threshold: float = THRESHOLD) -> Column:
     """Lines of a text that reach the threshold: array of (cosine, license, terms), whole text, in order."""
+    return _matching_lines(F.transform(F.split(text, "\n"), term_array), templates, threshold)
+
+
+def _matching_lines(cut: Column, templates, threshold: float) -> Column:
     rows, unknown, anchors = model(templates, threshold)
     idf = _weights(sorted({(t, w) for _, _, t, w, _ in rows}))
     weigh = lambda t: F.coalesce(idf[t], F.lit(unknown))
     shapes = F.array(*[F.struct(F.lit(name).alias("license"), _weights([(t, u) for k, _, t, _, u in rows if k == i]).alias("unit")) for i, (name, _) in enumerate(templates)])
-    lines = F.filter(F.transform(F.split(text, "\n"), term_array), lambda ts: F.arrays_overlap(ts, F.array(*map(F.lit, sorted(anchors)))))
+    lines = F.filter(cut, lambda ts: F.arrays_overlap(ts, F.array(*map(F.lit, sorted(anchors)))))
 
     def measured(ts: Column) -> Column:
         counted = F.transform(F.array_distinct(ts), lambda t: F.size(F.filter(ts, lambda x: x == t)) * weigh(t))
@@ -116,6 +146,99 @@ def notice_lines(text: Column, templates=TEMPLATES, threshold: float = THRESHOLD
     return F.filter(named, lambda x: x["cosine"] >= threshold)
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _shapes(templates, threshold: float, steps: int | None) -> tuple[Column, list[str], int]:
+    """Templates to slide, as a constant; the terms by which files are passed over; how few of those can ever do."""
+    rows, unknown, _ = model(templates, threshold)
+    shapes, seen, fewest = [], set(), len(rows)
+    for i, (name, text) in enumerate(templates):
+        own = {t: (idf, unit) for k, _, t, idf, unit in rows if k == i}
+        heavy, need = {t: unit**2 for t, (_, unit) in own.items()}, threshold**2 - 1e-9
+        most, length = len(own) // 2 + 1, len(terms(text))
+        seen, fewest = seen | set(heavy), min(fewest, most)
+        weight = {t: {"idf": idf, "dot": idf * unit} for t, (idf, unit) in own.items()}
+        shapes.append({"license": name, "length": length, "step": max(1, length // steps) if steps else 1, "most": most, "need": need, "unknown": unknown, "heavy": heavy, "weight": weight})
+    kind = "array<struct<license:string,length:int,step:int,most:int,need:double,unknown:double,heavy:map<string,double>,weight:map<string,struct<idf:double,dot:double>>>>"
+    return F.from_json(F.lit(json.dumps(shapes)), kind), sorted(seen), fewest
+
+
+def _measure(window: Column, k: Column) -> Column:
+    """Cosine of some terms to a template, and how many of its distinct terms they hold."""
+
+    def add(s: Column, t: Column) -> Column:
+        run = F.when(t == s["last"], s["run"] + 1).otherwise(F.lit(1))
+        own = k["weight"][t]
+        return _let(F.struct(run.alias("run"), own.alias("own")), lambda x: F.struct(
+            t.alias("last"), x["run"].alias("run"),
+            (s["square"] + (2 * x["run"] - 1) * F.pow(F.coalesce(x["own"]["idf"], k["unknown"]), F.lit(2.0))).alias("square"),
+            (s["dot"] + F.coalesce(x["own"]["dot"], F.lit(0.0))).alias("dot"),
+            (s["known"] + F.when((x["run"] == 1) & x["own"].isNotNull(), 1).otherwise(0)).alias("known"),
+        ))
+
+    start = F.struct(F.lit("").alias("last"), F.lit(0).alias("run"), F.lit(0.0).alias("square"), F.lit(0.0).alias("dot"), F.lit(0).alias("known"))
+    return F.aggregate(F.sort_array(window), start, add, lambda s: F.struct(F.coalesce(F.round(s["dot"] / F.sqrt(F.nullif(s["square"], F.lit(0.0))), 9), F.lit(0.0)).alias("cosine"), s["known"].alias("known")))
+
+
+def _windows(ts: Column, k: Column, threshold: float) -> Column:
+    """Windows of a template's length that match it: array of (cosine, license, start, stop)."""
+    weights = F.transform(ts, lambda t: _let(k["weight"][t], lambda w: F.struct(F.coalesce(w["dot"], F.lit(0.0)).alias("dot"), F.pow(F.coalesce(w["idf"], k["unknown"]), F.lit(2.0)).alias("square"))))
+
+    def likely(ws: Column, p: Column) -> Column:
+        sums = F.aggregate(F.slice(ws, p + 1, k["length"]), F.struct(F.lit(0.0).alias("dot"), F.lit(0.0).alias("square")), lambda s, w: F.struct((s["dot"] + w["dot"]).alias("dot"), (s["square"] + w["square"]).alias("square")))
+        begins = (k["step"] > 1) | (ws[p]["dot"] > 0)
+        return F.when(begins, _let(sums, lambda s: s["dot"] >= (threshold - 1e-6) * F.sqrt(s["square"]))).otherwise(F.lit(False))
+
+    starts = _let(weights, lambda ws: F.filter(F.sequence(F.lit(0), F.size(ws) - 1, k["step"]), lambda p: likely(ws, p)))
+    found = F.transform(starts, lambda p: _let(_measure(F.slice(ts, p + 1, k["length"]), k), lambda m: F.struct(m["cosine"].alias("cosine"), k["license"].alias("license"), p.alias("start"), F.least(p + k["length"], F.size(ts)).alias("stop"), (m["known"] >= k["most"]).alias("whole"))))
+    return F.transform(F.filter(found, lambda x: (x["cosine"] >= threshold) & x["whole"]), lambda x: F.struct(x["cosine"].alias("cosine"), x["license"].alias("license"), x["start"].alias("start"), x["stop"].alias("stop")))
+
+
+LINES = "array<struct<cosine:double,license:string,terms:int>>"
+SPANS = "array<struct<cosine:double,license:string,start:int,stop:int>>"
+
+
+def matches(text: Column, templates=TEMPLATES, threshold: float = THRESHOLD, headers=HEADERS, bodies=BODIES) -> Column:
+    """What a text has of the templates: its lines, windows of its terms that match notices (``short``) and full texts
+    (``full``), whether it does so as a whole, and the number of its terms.  It is cut into terms once."""
+    kinds = {"short": _shapes([*templates, *headers], threshold, None), "full": _shapes(bodies, threshold, STEPS)}
+    anchors = sorted(model(templates, threshold)[2])
+    heavy = sorted({*anchors, *(t for _, seen, _ in kinds.values() for t in seen)})
+
+    def possible(present: Column, shapes: Column, fewest: int) -> Column:
+        can = F.filter(shapes, lambda k: F.aggregate(present, F.lit(0.0), lambda s, t: s + F.coalesce(k["heavy"][t], F.lit(0.0))) >= k["need"])
+        return F.when(F.size(present) >= fewest, can).otherwise(F.slice(shapes, 1, 0))
+
+    def like(bare: Column, ks: Column) -> Column:
+        return F.exists(ks, lambda k: _let(_measure(bare, k), lambda m: (m["cosine"] >= threshold) & (m["known"] >= k["most"])))
+
+    def compared(ts: Column, ks: Column) -> Column:
+        bare = term_array(F.regexp_replace(text, OWNER, " "))
+        found = F.struct(F.flatten(F.transform(ks, lambda k: _windows(ts, k, threshold))).alias("windows"), _let(bare, lambda b: like(b, ks)).alias("whole"))
+        return F.when(F.size(ks) > 0, found).otherwise(F.struct(F.array().cast(SPANS).alias("windows"), F.lit(False).alias("whole")))
+
+    def judged(lines: Column, ts: Column) -> Column:
+        present = F.array_distinct(F.filter(ts, lambda t: t.isin(heavy)))
+        return _let(present, lambda p: F.struct(
+            F.when(F.arrays_overlap(p, F.array(*map(F.lit, anchors))), _matching_lines(lines, templates, threshold)).otherwise(F.array().cast(LINES)).alias("lines"),
+            F.size(ts).alias("terms"),
+            *[_let(possible(p, shapes, fewest), lambda ks: compared(ts, ks)).alias(kind) for kind, (shapes, _, fewest) in kinds.items()],
+        ))
+
+    cut = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), term_array)
+    return _let(cut, lambda lines: _let(F.flatten(lines), lambda ts: judged(lines, ts)))
+
+
+def _held(spans: Column) -> Column:
+    """Terms in the union of windows."""
+    ordered = F.array_sort(F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["stop"].alias("stop"))))
+    grown = lambda s, x: F.struct(F.greatest(s["end"], x["stop"]).alias("end"), (s["held"] + F.greatest(F.lit(0), x["stop"] - F.greatest(s["end"], x["start"]))).alias("held"))
+    return F.aggregate(ordered, F.struct(F.lit(0).alias("end"), F.lit(0).alias("held")), grown, lambda s: s["held"])
+
+
 def parent(path: Column) -> Column:
     """Directory of a path; the root is the empty string."""
     return F.regexp_extract(F.coalesce(path, F.lit("")), r"^(.*)/[^/]*$", 1)
@@ -127,16 +250,18 @@ def ancestors(directory: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), F.size(parts)), lambda n: F.struct(n.alias("depth"), F.array_join(F.slice(parts, F.lit(1), n), "/").alias("ancestor")))
 
 
-def scan(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, licence_share: float = 0.1) -> DataFrame:
+def scan(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, headers=HEADERS, bodies=BODIES) -> DataFrame:
     """Per row of ``files`` (doc_id, path, text): its own notice and cosine, its license, and the directory it comes from.
 
-    A licence file is one whose notices hold at least ``licence_share`` of its words.  ``inherited_from`` is null where the
-    license is the file's own or where there is none.
+    ``inherited_from`` is null where the license is the file's own or where there is none.
     """
-    marked = files.select("doc_id", parent(F.col("path")).alias("directory"), notice_lines(F.col("text"), templates, threshold).alias("found"), word_count().alias("words"))
-    best = F.array_min(F.transform("found", lambda x: F.struct((-x["cosine"]).alias("order"), x["license"].alias("license"))))
-    held = F.aggregate("found", F.lit(0), lambda s, x: s + x["terms"])
-    marked = marked.select("doc_id", "directory", best["license"].alias("own_license"), (-best["order"]).alias("own_cosine"), F.coalesce((F.size("found") > 0) & (held >= licence_share * F.col("words")), F.lit(False)).alias("is_licence_file"))
+    found = files.select("doc_id", parent(F.col("path")).alias("directory"), matches(F.col("text"), templates, threshold, headers, bodies).alias("m")).select("doc_id", "directory", "m.*")
+    ranked = lambda spans, rank: F.transform(spans, lambda x: F.struct(F.lit(rank).alias("rank"), (-x["cosine"]).alias("order"), x["license"].alias("license")))
+    best = F.array_min(F.concat(ranked("lines", 1), ranked(F.col("short.windows"), 1), ranked(F.col("full.windows"), 0)))
+    held = F.size("full.windows") > 0
+    licence = F.col("short.whole") | F.col("full.whole") | (held & (_held(F.col("full.windows")) >= HELD * F.col("terms")))
+    marked = found.select("doc_id", "directory", best.alias("best"), F.coalesce(licence, F.lit(False)).alias("is_licence_file"))
+    marked = marked.select("doc_id", "directory", F.col("best.license").alias("own_license"), (-F.col("best.order")).alias("own_cosine"), (F.col("is_licence_file") & F.col("best").isNotNull()).alias("is_licence_file"))
     marked = stage(marked, "lic-files")
     licensed = marked.filter("is_licence_file").groupBy(F.col("directory").alias("ancestor")).agg(F.min(F.struct((-F.col("own_cosine")).alias("order"), F.col("own_license").alias("license")))["license"].alias("license"))
     above = marked.select("directory").distinct().select("directory", F.explode(ancestors(F.col("directory"))).alias("up")).select("directory", "up.depth", "up.ancestor")

@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import textwrap
 
 import numpy as np
 
@@ -123,3 +124,25 @@ def test_licenses_are_inherited_from_the_nearest_directory(spark):
     got = sorted(((r["doc_id"], r["license"], r["inherited_from"], r["is_licence_file"]) for r in licenses.scan(spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, path string, text string, license string")).collect()))
     assert got == [(1, "MIT", None, True), (2, "GPL-3.0", None, True), (3, "GPL-3.0", "a", False), (3, "GPL-3.0", "a", False), (4, "MIT", "", False), (5, "MIT", None, False), (6, "MIT", "", False), (7, "MIT", "", False)]
     assert licenses.scan(spark.createDataFrame([], "doc_id long, path string, text string")).count() == 0
+
+
+def wrapped(text, width, mark=""):
+    return "\n".join(mark + line for part in text.split("\n\n") for line in [*textwrap.wrap(" ".join(part.split()), width), ""])
+
+
+def test_wrapped_and_embedded_licenses(spark):
+    bodies = dict(licenses.BODIES)
+    gpl2 = 'This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.'
+    apache = 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'
+    prose, code = "garden river " * 300, "value = call(argument)\n" * 500
+    cases = [(name, "The License\n\nCopyright (c) 2020 Some One\n\n" + wrapped(text, width), name, True) for name, text in bodies.items() for width in (40, 79)]
+    cases += [(f"{name} in code", wrapped(bodies[name], 60, " * ") + code, name, False) for name in ("MIT", "BSD-3-Clause", "BSD-2-Clause", "ISC")]
+    cases += [("both", bodies["MIT"] + "\n\n" + bodies["Apache-2.0"], {"MIT", "Apache-2.0"}, True), ("owner", "Copyright (c) 2020 Some One and others\nReleased under the MIT License.", "MIT", True)]
+    cases += [("gpl2", wrapped(gpl2, 40, "# ") + code, "GPL-2.0", False), ("apache", wrapped(apache, 30, "// ") + code, "Apache-2.0", False)]
+    cases += [("long line", f"{prose}{notice} {prose}", name, False) for notice, name in ((apache, "Apache-2.0"), (gpl2, "GPL-2.0"), ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"))]
+    cases += [("prose", prose, None, False), ("mit mit", "mit mit den und mit " + prose, None, False), ("null", None, None, False)]
+    frame = spark.createDataFrame([(i, f"{i}/x", text) for i, (_, text, _, _) in enumerate(cases)], "doc_id long, path string, text string")
+    got = {r["doc_id"]: r for r in licenses.scan(frame).collect()}
+    wrong = [(what, got[i]["own_license"], got[i]["own_cosine"], got[i]["is_licence_file"]) for i, (what, _, name, whole) in enumerate(cases) if (got[i]["own_license"] not in name if isinstance(name, set) else got[i]["own_license"] != name) or got[i]["is_licence_file"] != whole]
+    assert not wrong
+    assert all(got[i]["own_cosine"] > 0.9 for i, (_, _, name, _) in enumerate(cases) if name)
