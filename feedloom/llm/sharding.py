@@ -64,27 +64,29 @@ def _label(depth: Column, prefix: Column) -> Column:
     return F.when(depth == 0, F.lit("")).otherwise(F.lpad(F.bin(prefix), depth, "0"))
 
 
-def shards(docs: DataFrame, key: str = "doc_id", text: str = "text", limit: int = SHARD_BYTES) -> DataFrame:
+def shards(docs: DataFrame, key: str = "doc_id", text: str = "text", limit: int = SHARD_BYTES, row: str | None = None) -> DataFrame:
     """Per row: the key, its bytes, and its shard (bits of the path, depth, bytes and rows it holds).
 
-    Every shard holds at most ``limit`` bytes unless it is a single row.
+    Every shard holds at most ``limit`` bytes unless it is a single row.  ``row`` names a stored row number to return too.
     """
     size = F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long")
-    rows = stage(docs.select(F.col(key).alias("_key"), hash_bits(F.col(key)).alias("h"), size.alias("bytes")), "shard-rows")
+    rows = stage(docs.select(F.col(key).alias("_key"), *([F.col(row).alias("_number")] if row else []), hash_bits(F.col(key)).alias("h"), size.alias("bytes")), "shard-rows")
     total = rows.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     split = _split(rows, limit, max(1, (total // limit + 1).bit_length() + 4))
     whole = (F.col("shard.shard_bytes") <= limit) | (F.col("shard.shard_rows") == 1)
+    kept = ["_number"] if row else []
     columns = [F.col("_key").alias(key), "bytes"]
-    fine = split.filter(whole).select(*columns, _label(F.col("shard.depth"), F.col("shard.prefix")).alias("shard"), F.col("shard.depth").alias("depth"), "shard.shard_bytes", "shard.shard_rows")
-    equal = stage(split.filter(~whole).select("_key", "bytes", F.monotonically_increasing_id().alias("row"), _label(F.col("shard.depth"), F.col("shard.prefix")).alias("above"), F.col("h").alias("same")), "shard-equal")
+    fine = split.filter(whole).select(*columns, _label(F.col("shard.depth"), F.col("shard.prefix")).alias("shard"), F.col("shard.depth").alias("depth"), "shard.shard_bytes", "shard.shard_rows", *kept)
+    equal = stage(split.filter(~whole).select("_key", "bytes", *kept, F.monotonically_increasing_id().alias("row"), _label(F.col("shard.depth"), F.col("shard.prefix")).alias("above"), F.col("h").alias("same")), "shard-equal")
     if equal.isEmpty():
-        return fine
+        return fine.withColumnRenamed("_number", row) if row else fine
     inner = equal.withColumn("h", hash_bits(F.concat_ws("-", "same", "row")))
-    pages = _split_equal(inner, limit)
-    return fine.unionByName(pages.withColumnRenamed("_key", key))
+    pages = _split_equal(inner, limit, *kept)
+    out = fine.unionByName(pages.withColumnRenamed("_key", key))
+    return out.withColumnRenamed("_number", row) if row else out
 
 
-def _split_equal(rows: DataFrame, limit: int) -> DataFrame:
+def _split_equal(rows: DataFrame, limit: int, *keep: str) -> DataFrame:
     """Rows whose first hash says no more, split by the bits of a second one within each first hash."""
     depth = 0
     while True:
@@ -99,13 +101,16 @@ def _split_equal(rows: DataFrame, limit: int) -> DataFrame:
             break
     placed = rows.withColumn("cell", _prefix(depth)).join(cells, ["same", "cell"])
     path = F.concat("above", F.lit("+"), _label(F.col("shard.depth"), F.col("shard.prefix")))
-    return placed.select("_key", "bytes", path.alias("shard"), (F.length("above") + F.col("shard.depth")).cast("int").alias("depth"), "shard.shard_bytes", "shard.shard_rows")
+    return placed.select("_key", "bytes", path.alias("shard"), (F.length("above") + F.col("shard.depth")).cast("int").alias("depth"), "shard.shard_bytes", "shard.shard_rows", *keep)
 
 
 def write_shards(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", limit: int = SHARD_BYTES) -> DataFrame:
-    """Writes the documents below ``path``, one folder ``shard=<bits>`` each, and returns the directory."""
-    placed = stage(shards(docs, key, text, limit).groupBy(key, "shard").agg(F.count("bytes").alias("copies")), "shard-places")
-    single = placed.groupBy(key).agg(F.min("shard").alias("shard"))
-    out = docs.join(single, docs[key].eqNullSafe(single[key])).drop(single[key])
+    """Writes the documents below ``path``, one folder ``shard=<bits>`` each, and returns the directory.
+
+    Rows get a stored number first, so that copies of a key are told apart and each goes to the shard it was placed in.
+    """
+    numbered = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "shard-numbered")
+    placed = stage(shards(numbered, key, text, limit, row="_row").select("_row", "shard"), "shard-places")
+    out = numbered.join(placed, "_row").drop("_row")
     out.repartition("shard").sortWithinPartitions("shard").write.partitionBy("shard").parquet(path)
-    return placed.groupBy("shard").agg(F.sum("copies").alias("rows"))
+    return placed.groupBy("shard").agg(F.count("_row").alias("rows"))

@@ -186,3 +186,16 @@ def test_quality_of_odd_texts(spark):
     assert (got[8]["n_symbols"], got[8]["n_dup_lines"], got[8]["word_chars"]) == (5, 1, 9)
     assert got[6]["n_words"] == 2 and got[9]["n_repeat_words"] == 200 and not got[9]["kept"]
     assert quality.measure(" ".join(f"w{i}" for i in range(80)))[6]
+
+
+def test_written_shards_of_a_hot_key_fit_their_limit(spark, tmp_path):
+    rows = [(i, "z" * 50, "s") for i in range(60)] + [(7, "h" * 40 + str(i), "s") for i in range(60)] + [(None, "n" * 45, "s")] * 50
+    places = {r["shard"]: r["rows"] for r in sharding.write_shards(docs(spark, rows), str(tmp_path / "out"), limit=400).collect()}
+    held = defaultdict(list)
+    for folder in (tmp_path / "out").glob("shard=*"):
+        name = folder.name.removeprefix("shard=")
+        for r in spark.read.parquet(str(folder)).collect():
+            held[name].append((r["doc_id"], r["text"]))
+    assert Counter(x for part in held.values() for x in part) == Counter((i, t) for i, t, _ in rows)
+    assert all(sum(len(t) for _, t in part) <= 400 or len(part) == 1 for part in held.values())
+    assert {n: len(part) for n, part in held.items()} == places
