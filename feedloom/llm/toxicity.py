@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from feedloom.llm.common import Memo, drawn, slices, stage
 
 SAMPLE, FIT, THRESHOLD, OFFENDING = 24_000, 1_200, 0.3, 0.5
-STEMS, ROUNDS, RIDGE, CHAIN = 400, 40, 0.05, 64
+ROUNDS, RIDGE, CHAIN = 40, 0.05, 64
 TOKEN = re.compile(r"[^\W\d_]+")
 
 
@@ -152,7 +152,7 @@ def offending_stems(sample: DataFrame, bound: int = 4 * SAMPLE) -> set[str]:
         for s in {s for w in set(TOKEN.findall((text or "").lower())) for s in stems(w)} & known.keys():
             holders.setdefault(s, set()).add(i)
     chosen: set[str] = set()
-    while holders and len(chosen) < STEMS:
+    while holders:
         best = max(holders, key=lambda s: (len(holders[s]) / (1 + known[s][1]), -len(s), s))
         gain = holders.pop(best)
         if len(gain) < 3:

@@ -146,3 +146,12 @@ def test_wrapped_and_embedded_licenses(spark):
     wrong = [(what, got[i]["own_license"], got[i]["own_cosine"], got[i]["is_licence_file"]) for i, (what, _, name, whole) in enumerate(cases) if (got[i]["own_license"] not in name if isinstance(name, set) else got[i]["own_license"] != name) or got[i]["is_licence_file"] != whole]
     assert not wrong
     assert all(got[i]["own_cosine"] > 0.9 for i, (_, _, name, _) in enumerate(cases) if name)
+
+
+def test_every_offending_stem_is_chosen(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    bad = ["".join(x) for x in itertools.islice(itertools.product("cdef", letters, letters), 420)]
+    rows = [(f"{word} {plain}", 1) for word in bad for plain in ("alpha", "beta", "gamma")]
+    rows += [(f"alpha beta gamma x{a}{b}", 0) for a in letters[:10] for b in letters[:10]]
+    sample = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, toxic int")
+    assert {s.removeprefix("=") for s in toxicity.offending_stems(sample)} == set(bad)
