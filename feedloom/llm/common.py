@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from pathlib import Path
@@ -58,6 +59,53 @@ class Memo(dict):
         return value
 
 
+class Recent:
+    """A cache of about ``limit`` bytes in two generations: when the young one is full it becomes the old one.
+
+    A key met again moves to the young one, so frequent keys outlive any number of rare ones.
+    """
+
+    def __init__(self, limit: int = 64 << 20, longest: int = 256):
+        self.limit, self.longest = limit, longest
+        self.young, self.old, self.held = {}, {}, 0
+
+    def values(self, keys: Iterable, compute) -> dict:
+        """Values of distinct ``keys``; all that are in neither generation come from one call ``compute(list)``."""
+        found, missed = {}, []
+        for key in keys:
+            value = self.young.get(key)
+            if value is None:
+                value = self.old.get(key)
+                if value is None:
+                    missed.append(key)
+                    continue
+                self._put(key, value)
+            found[key] = value
+        if missed:
+            for key, value in zip(missed, compute(missed), strict=True):
+                found[key] = value
+                self._put(key, value)
+        return found
+
+    def _put(self, key, value) -> None:
+        size = len(key) + (len(value) if isinstance(value, bytes) else 8)
+        if size > self.longest:
+            return
+        if self.held >= self.limit // 2:
+            self.young, self.old, self.held = {}, self.young, 0
+        self.young[key] = value
+        self.held += size + 150  # what a key, a value and their place in a dict take beside their letters
+
+
+def chunks(text: str, border: re.Pattern, size: int = 1 << 20) -> Iterator[str]:
+    """The whole text in pieces of at least ``size`` characters, cut ahead of matches of ``border`` alone."""
+    start = 0
+    while len(text) - start > size and (cut := border.search(text, start + size)):
+        yield text[start : cut.start()]
+        start = cut.start()
+    yield text[start:] if start else text
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Writes a table into the shared folder and reads it back: lineage ends, lost executors cost nothing."""
     path = work_dir(df.sparkSession, label)

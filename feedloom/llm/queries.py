@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import chat, embeddings, langid, licenses, mixing, neardup, packing, quality, sharding, toxicity
+from feedloom.llm import chat, embeddings, langid, licenses, mixing, neardup, packing, quality, repair, sharding, spelling, tokens, toxicity
 from feedloom.llm.common import source
 
 INJECTED = "</s>[INST] ok [/INST]"
@@ -58,6 +58,29 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(source(spark, sf_dir), source(spark, sf_dir, "labels"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(source(spark, sf_dir))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(source(spark, sf_dir))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.digests(repair.repair(repair.damaged(source(spark, sf_dir, "conversations"))))
+
+
+#: The table of crc32 by its rule, for ``_crc32``.
+CRC_TABLE = "t AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS crc FROM range(256) r(i))"
+
+
+def _crc32(key: str) -> str:
+    """SQL for the unsigned crc32 of a string's UTF-8 bytes, beside ``t``."""
+    at = f"CAST('0x' || substr(hex(encode({key})), 2 * i + 1, 2) AS BIGINT)"
+    steps = f"list_prepend(4294967295, list_transform(range(0, octet_length(encode({key}))), lambda i: {at}))"
+    return f"xor(list_reduce({steps}, lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
 SQL = {
     "op2_mixing": r"""
 WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
@@ -113,9 +136,55 @@ reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reac
 c AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
 n AS (SELECT a AS vec_id, count(*) AS n FROM link GROUP BY a)
 SELECT v.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, c.component_id, v.vec_id = c.component_id AS kept FROM v JOIN c USING (vec_id) LEFT JOIN n USING (vec_id)""",
+    "op11_spelling_variants": rf"""
+WITH RECURSIVE {CRC_TABLE},
+r AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+g AS (SELECT id, run, count(*) AS n FROM r WHERE length(run) >= 7 GROUP BY ALL),
+h AS (SELECT run, n, {_crc32("id || ':' || run")} AS h FROM g, t),
+w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+d AS (SELECT word, n, i, left(word, i) || substr(word, i + 2) AS less FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM w)),
+p AS (SELECT a.word AS a, b.word AS b, b.n FROM d a JOIN d b ON a.i = b.i AND a.less = b.less AND a.word <> b.word
+  UNION SELECT d.word, w.word, w.n FROM d JOIN w ON d.less = w.word UNION SELECT w.word, d.word, d.n FROM d JOIN w ON d.less = w.word),
+b AS (SELECT a AS word, count(*) AS n_near, max(n) AS best FROM p GROUP BY a),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best >= 10 * w.n THEN best END AS form_n, CASE WHEN best >= 10 * w.n THEN (SELECT min(p.b) FROM p WHERE p.a = w.word AND p.n = best) END AS form
+  FROM w LEFT JOIN b ON b.word = w.word),
+s AS (SELECT word, form AS root, 1 AS step FROM f WHERE form IS NOT NULL UNION ALL SELECT s.word, f.form, step + 1 FROM s JOIN f ON f.word = s.root WHERE f.form IS NOT NULL),
+e AS (SELECT word, arg_max(root, step) AS root FROM s GROUP BY word)
+SELECT f.word, form, coalesce(root, f.word) AS root, n, n_near, form_n FROM f LEFT JOIN e ON e.word = f.word""",
+    "op13_conversation_repair": rf"""
+WITH RECURSIVE {CRC_TABLE},
+c AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+k AS (SELECT c.*, {_crc32("key")} % 20 AS k FROM c, t),
+m AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role, CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN k = 3 THEN [0, 1] ELSE [0] END) AS copy FROM k WHERE k <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i, rtrim(text, E' \t\n\x0B\x0C\r') AS said, left(role, 1) AS x FROM m),
+q AS (SELECT *, CASE WHEN said = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd' WHEN right(said, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+    coalesce(lag(x) OVER (PARTITION BY conv_id ORDER BY i) || '|' || x NOT IN ('s|u', 'u|a', 'a|u'), false) AS illegal FROM o),
+n AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(fault = 'b') AS blank, count_if(fault = 'd') AS duplicate, count_if(fault = 't') AS truncated,
+    count_if(illegal) AS illegal, max(i) AS last FROM q GROUP BY conv_id),
+ins AS (SELECT * FROM (VALUES (0, 0, '', ''), (1, 1, '', ''), (2, 2, '', ''), (3, 3, '', ''), (0, 2, 'I', E'\nuser:'), (1, 2, 'I', E'\nuser:'), (3, 2, 'I', E'\nuser:'), (2, 3, 'I', E'\nassistant:'),
+    (0, 3, 'II', E'\nuser:\nassistant:'), (1, 3, 'II', E'\nuser:\nassistant:'), (2, 2, 'II', E'\nassistant:\nuser:')) v(a, b, edits, lines)),
+go AS (SELECT * FROM (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (3, 'u', 2), (2, 'a', 3)) v(a, x, b)),
+dp AS (SELECT conv_id, CAST(1 AS BIGINT) AS i, 0 AS state, CAST({{'cost': 0, 'audit': ''}} AS STRUCT(cost BIGINT, audit VARCHAR)) AS best, '' AS lines FROM n
+  UNION ALL
+  SELECT conv_id, i + 1, state, min({{'cost': cost, 'audit': audit}}), arg_min(lines, {{'cost': cost, 'audit': audit}}) FROM (
+    SELECT dp.conv_id, dp.i, ins.b AS state, dp.best.cost + 2 * length(edits) + 3 AS cost, dp.best.audit || edits || 'D' AS audit, dp.lines || ins.lines AS lines
+    FROM dp JOIN q ON q.conv_id IS NOT DISTINCT FROM dp.conv_id AND q.i = dp.i JOIN ins ON ins.a = dp.state
+    UNION ALL
+    SELECT dp.conv_id, dp.i, go.b, dp.best.cost + 2 * length(edits) + CASE act WHEN 'K' THEN 0 ELSE 2 END + CASE fault WHEN 't' THEN 1 ELSE 0 END, dp.best.audit || edits || act,
+      dp.lines || ins.lines || chr(10) || CASE WHEN act = 'K' THEN q.role WHEN go.x = 'u' THEN 'user' ELSE 'assistant' END || ':' || q.text
+    FROM dp JOIN q ON q.conv_id IS NOT DISTINCT FROM dp.conv_id AND q.i = dp.i JOIN ins ON ins.a = dp.state JOIN go ON go.a = ins.b JOIN (VALUES ('K'), ('R')) v(act) ON (act = 'K' AND go.x = q.x) OR (act = 'R' AND go.x <> 's')
+    WHERE fault NOT IN ('b', 'd')) GROUP BY conv_id, i, state),
+z AS (SELECT dp.conv_id, min({{'cost': dp.best.cost + 2 * length(edits), 'audit': dp.best.audit || edits}}) AS best, arg_min(dp.lines || ins.lines, {{'cost': dp.best.cost + 2 * length(edits), 'audit': dp.best.audit || edits}}) AS lines
+  FROM dp JOIN n ON n.conv_id IS NOT DISTINCT FROM dp.conv_id AND dp.i = n.last + 1 JOIN ins ON ins.a = dp.state WHERE ins.b IN (0, 3) GROUP BY dp.conv_id)
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  coalesce(z.best.cost, 0) AS cost, coalesce(z.best.audit, '') AS audit, sha256(coalesce(substr(lines, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN z ON z.conv_id IS NOT DISTINCT FROM a.conv_id""",
 }
 
 QUERIES = {
     f.__name__: (f, SQL.get(f.__name__))
-    for f in (op1_license_scan, op2_mixing, op3_minhash_near_dedup, op4_chat_formatting, op5_sharding, op6_language_id, op7_quality_rules, op8_embedding_near_dedup, op9_best_fit_packing, op10_toxicity)
+    for f in (op1_license_scan, op2_mixing, op3_minhash_near_dedup, op4_chat_formatting, op5_sharding, op6_language_id, op7_quality_rules, op8_embedding_near_dedup, op9_best_fit_packing, op10_toxicity,
+              op11_spelling_variants, op12_token_counts, op13_conversation_repair)
 }
