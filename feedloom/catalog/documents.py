@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.ingest import collection_table
+from ..plans.ingest import CARRIED, collection_table
 from ..session import prepare, table
 from .samples import Sample, as_of, rounded
 
@@ -643,7 +643,7 @@ def transform_query(name: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         prepare(spark)
         rows = collection_table(SAMPLES[name].messages(spark, sf_dir), name, as_of())
-        return rounded(rows.drop("_event_ts", "_message_id", "_pos", "_correlation_id"))
+        return rounded(rows.drop(*CARRIED[1:]))
 
     run.__name__ = "transform_" + name.replace("-", "_")
     return run

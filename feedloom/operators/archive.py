@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import variant as V
-from .dedup import first_per_key
+from . import ledger
 
 
 def archive_rows(decoded: DataFrame, as_of: Column | None = None) -> DataFrame:
@@ -25,11 +25,13 @@ def archive_rows(decoded: DataFrame, as_of: Column | None = None) -> DataFrame:
         F.substring(F.regexp_replace(text("timestamp"), "[:.]", "-"), 1, 19),
         F.date_format(now, "yyyyMMdd_HHmmss"),
     )
-    prefix = F.substring(F.coalesce(F.nullif("message_id", F.lit("")), F.md5("payload")), 1, 8)
+    name = F.coalesce(F.nullif("message_id", F.lit("")), F.md5("payload"))
+    prefix = F.substring(name, 1, 8)
+    # Fixed value: the form of an archived object's path.
     path = F.concat(
         F.lit("raw/"), collection, F.lit("/"), prefix, F.lit("-"),
         F.date_format(date, "yyyy-MM-dd"), F.lit("/"), operation, F.lit("_"),
-        file_time, F.lit("_"), F.col("message_id"), F.lit(".json"),
+        file_time, F.lit("_"), name, F.lit(".json"),
     )
     derived = F.struct(
         date.alias("ingest_date"),
@@ -55,73 +57,30 @@ def archive_rows(decoded: DataFrame, as_of: Column | None = None) -> DataFrame:
     )
 
 
-def write_archive(rows: DataFrame, path: str) -> None:
-    """Adds each message to the archive once, however often it is delivered or the job is run.
+def write_archive(rows: DataFrame, path: str) -> int:
+    """Adds each message to the archive once, however often, and whenever, it is delivered or the job is run.
 
-    Messages already archived are found by id within the (collection, date) partitions that
-    this batch touches; only ids are read there, and only those partitions.
+    A message is known by its id alone, one without an id by the digest of its payload: neither the date, which
+    may be the day of processing, nor the object path takes part.
     """
-    spark = rows.sparkSession
-    once = first_per_key(rows, ["collection", "ingest_date", "path"], ["received_at", "data_size_bytes"])
-    parts = ["collection", "ingest_date"]
-    if table_exists(spark, path):
-        touched = once.select(*parts).distinct()
-        known = spark.read.parquet(path).select(*parts, "path").join(touched, parts, "left_semi")
-        once = once.join(known, [*parts, "path"], "left_anti")
-    write_parts(once, path, "append", *parts)
+    content = F.sha2("payload", 256)
+    key = ledger.digest(F.nullif("message_id", F.lit("")), F.when(F.coalesce("message_id", F.lit("")) == "", content))
+    return ledger.add_once(rows, path, key, ["publish_time", "received_at", "path"], ["collection", "ingest_date"])
 
 
-def write_parts(df: DataFrame, path: str, mode: str, *parts: str) -> None:
-    """Partitioned Parquet with few, evenly sized files.
-
-    The rebalance hint lets AQE cut the shuffle by measured size: small partitions share a
-    task, and a partition holding much of the data is split over many.
-    """
-    columns = [F.col(p) for p in parts]
-    df.hint("rebalance", *columns).write.mode(mode).option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(*parts).parquet(path)
-
-
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a finished write left anything at the path (local, HDFS or object store)."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return files.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS"))
-
-
-def write_new_rows(rows: DataFrame, path: str, keys: list[str], parts: list[str]) -> None:
-    """Appends rows whose keys (nulls are equal) are neither written nor met before in the batch.
-
-    Only the keys of the partitions that the batch touches are read.
-    """
-    once = first_per_key(rows, keys, parts)
-    if table_exists(rows.sparkSession, path):
-        touched = once.select(*parts).distinct()
-        known = rows.sparkSession.read.schema(rows.schema).parquet(path).select(*parts, *keys).join(touched, parts, "left_semi")
-        known = known.select(*[F.col(k).alias(f"_seen{k}") for k in keys])
-        same = [F.col(k).eqNullSafe(F.col(f"_seen{k}")) for k in keys]
-        once = once.join(known, same, "left_anti")
-    write_parts(once, path, "append", *parts)
-
-
-def write_collection_table(table: DataFrame, path: str, as_of: Column | None = None) -> None:
+def write_collection_table(table: DataFrame, path: str, as_of: Column | None = None) -> int:
     """Adds rows to the processed table of a collection, partitioned by operation and event date.
 
-    A document counts once, by message id and position (without an id: by its whole row), within
-    the batch and against the partitions it touches, of which only those two columns are read.
-    Earlier batches of a day stay, and a batch written again adds nothing.
+    A document counts once, by message id and position (without an id: by its whole row), whatever day or
+    operation a copy of it names.  Earlier batches stay, and a batch written again adds nothing.
     """
     now = F.current_timestamp() if as_of is None else as_of
     dated = table.withColumn("ingest_date", F.to_date(F.coalesce("_event_ts", now)))
-    parts, keys = ["_operation", "ingest_date"], ["_message_id", "_pos"]
     whole = F.sha2(F.to_json(F.struct(*table.columns)), 256)
     named = dated.withColumn("_message_id", F.coalesce(F.nullif("_message_id", F.lit("")), F.concat(F.lit("sha256:"), whole)))
-    write_new_rows(named, path, keys, parts)
+    return ledger.add_once(named, path, ledger.digest("_message_id", "_pos"), ["_operation", "ingest_date"], ["_operation", "ingest_date"])
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Deletes intermediate data that nothing reads any more."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+def write_set_aside(rows: DataFrame, path: str) -> int:
+    """Adds skipped or rejected documents, each once by message id and position, by disposition and date."""
+    return ledger.add_once(rows, path, ledger.digest("message_id", "pos"), ["disposition", "ingest_date"], ["disposition", "ingest_date"])

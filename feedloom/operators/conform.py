@@ -25,16 +25,14 @@ class ColumnPlan:
 
     missing: tuple[T.StructField, ...]
     extra: tuple[str, ...]
-    kept: tuple[T.StructField, ...]
 
 
-def line_up(df: DataFrame, schema: T.StructType) -> ColumnPlan:
-    have = set(df.columns)
+def line_up(columns: list[str], schema: T.StructType) -> ColumnPlan:
+    have = set(columns)
     wanted = {f.name for f in schema.fields}
     return ColumnPlan(
         tuple(f for f in schema.fields if f.name not in have),
         tuple(sorted(have - wanted)),
-        tuple(f for f in schema.fields if f.name in have),
     )
 
 
@@ -80,9 +78,10 @@ def _label(data_type: T.DataType) -> str:
     return TYPE_LABELS.get(data_type.simpleString(), data_type.simpleString())
 
 
-def structural_warnings(df: DataFrame, schema: T.StructType) -> list[str]:
+# The texts of all warnings below.
+def structural_warnings(columns: list[str], schema: T.StructType) -> list[str]:
     """Warnings known from column names alone, without running a job."""
-    plan = line_up(df, schema)
+    plan = line_up(columns, schema)
     found = [
         f"SCHEMA_DRIFT: Added missing field '{f.name}' ({_label(f.dataType)}) with None"
         for f in plan.missing
@@ -93,12 +92,12 @@ def structural_warnings(df: DataFrame, schema: T.StructType) -> list[str]:
     return found
 
 
-def column_measures(df: DataFrame, schema: T.StructType, by: tuple[str, ...] = ()) -> DataFrame:
+def column_measures(df: DataFrame, schema: T.StructType, by: tuple[str, ...] = (), losses: str | None = None) -> DataFrame:
     """One row per (group and) target column: rows, nulls, values lost by the cast.
 
-    A single aggregation pass over all columns; every task sends one partial row per group.
+    A single aggregation pass over all columns; every task sends one partial row per group.  ``losses``
+    names a column that lists each row's lost targets, where the casts were made before.
     """
-    plan = line_up(df, schema)
     have = {f.name: f.dataType for f in df.schema.fields}
     per_column = []
     for f in schema.fields:
@@ -106,13 +105,12 @@ def column_measures(df: DataFrame, schema: T.StructType, by: tuple[str, ...] = (
             source = F.col(f.name)
             cast = lenient_cast(source, have[f.name], f.dataType)
             nulls = F.count_if(cast.isNull())
-            lost = F.count_if(source.isNotNull() & cast.isNull())
+            lost = F.count_if(F.array_contains(losses, f.name) if losses else source.isNotNull() & cast.isNull())
         else:
             nulls, lost = F.count(F.lit(1)), F.lit(0).cast("bigint")
         per_column.append(
             F.struct(F.lit(f.name).alias("field"), nulls.alias("nulls"), lost.alias("lost"))
         )
-    del plan
     grouped = df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("rows"), F.array(*per_column).alias("columns")
     )
@@ -142,14 +140,20 @@ def quality_warnings(measures: DataFrame, by: tuple[str, ...] = ()) -> DataFrame
 
 
 def drift_report(
-    df: DataFrame, schema: T.StructType, collection: str, as_of: Column | None = None
+    df: DataFrame,
+    schema: T.StructType,
+    collection: str,
+    as_of: Column | None = None,
+    columns: list[str] | None = None,
+    losses: str | None = None,
 ) -> DataFrame:
     """Every warning for a table as rows (order, message, collection, severity, timestamp).
 
-    A table without rows gives the single warning that it is empty.
+    A table without rows gives the single warning that it is empty.  For a table that was conformed before,
+    ``columns`` are those it had then and ``losses`` is the column that lists each row's lost targets.
     """
-    structural = structural_warnings(df, schema)
-    measured = column_measures(df, schema)
+    structural = structural_warnings(df.columns if columns is None else columns, schema)
+    measured = column_measures(df, schema, losses=losses)
     fixed = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(m).alias("message")) for i, m in enumerate(structural)])
     if not structural:
         fixed = F.array().cast("array<struct<position:int,message:string>>")
@@ -178,6 +182,27 @@ def drift_report(
     )
 
 
+def document_warnings(
+    table: DataFrame, collection: str, losses: str, document: str, message: str, position: str, as_of: Column | None = None
+) -> DataFrame:
+    """The warnings about single documents: each value that could not be read, and what was saved without them.
+
+    ``losses`` lists a row's lost targets; ``document``, ``message`` and ``position`` name its origin.
+    """
+    lost = F.col(losses)
+    failed = F.transform(lost, lambda f: F.format_string("TYPE_MISMATCH: COLUMN_CAST_FAILED for '%s' in 1 rows", f))
+    names = F.array_join(F.transform(lost, lambda f: F.concat(F.lit("'"), f, F.lit("'"))), ", ")
+    saved = F.format_string("RECOVERY: Dropped columns due to errors: [%s]", names)
+    told = table.filter(F.size(lost) > 0).select(
+        F.col(document).alias("document_id"), F.col(message).alias("message_id"), F.col(position).alias("pos"),
+        F.posexplode(F.concat(failed, F.array(saved))).alias("position", "message"),
+    )
+    return told.select(
+        "position", "message", F.lit(collection).alias("collection"), severity_of(F.col("message")).alias("severity"),
+        (F.current_timestamp() if as_of is None else as_of).alias("timestamp"), "document_id", "message_id", "pos",
+    )
+
+
 def drift_summary(report: DataFrame) -> DataFrame:
     """Warning count and the first three warnings of each collection.
 

@@ -97,6 +97,12 @@ class Collection:
     def mapped(self) -> tuple[Field, ...]:
         return tuple(f for f in self.fields + self.dropped if f.source)
 
+    @property
+    def mapped_columns(self) -> list[str]:
+        """Columns that mapping makes, in order."""
+        first, *rest = [f.target for f in self.mapped]
+        return [first, "pk_yearmonth", "des_data_origin", *rest, "des_source"]
+
     @property
     def target_columns(self) -> list[tuple[str, str]]:
         """(name, type) in target order, with the columns every collection carries."""
@@ -188,6 +194,19 @@ class Compiler:
             built = DERIVED[field.function](node, *field.arguments)
         return f"{built} AS {field.target}"
 
+    def losses(self) -> str:
+        """Names of the targets that stayed NULL although their slot is filled, beside the targets themselves.
+
+        Only a value read as a number, a time or a flag can be lost: text takes anything, and a measure of an
+        unusable value has its default.
+        """
+        read = [f for f in self.collection.mapped if f.function is None and f.as_type not in ("string", "json")]
+        tests = []
+        for f in read:
+            node = self._node(f.source, with_text=True)
+            tests.append(f"if({f.target} IS NULL AND {node.present()} AND {node.filled()}, '{f.target}', NULL)")
+        return f"array_compact(CAST(array({', '.join(tests)}) AS array<string>))"
+
 
 def map_documents(
     df: DataFrame,
@@ -195,11 +214,12 @@ def map_documents(
     document: str = "document",
     as_of: Column | None = None,
     keep: tuple[str, ...] = (),
+    losses: str | None = None,
 ) -> DataFrame:
     """Every mapped field of a VARIANT ``document`` column, dropped fields included.
 
     ``as_of`` is the processing time behind ``pk_yearmonth``; ``keep`` names columns carried
-    along unchanged.
+    along unchanged.  ``losses`` names a further column with the targets whose values could not be read.
     """
     compiler = Compiler(collection, document)
     first, *rest = collection.mapped
@@ -207,14 +227,16 @@ def map_documents(
     for texts in compiler.stages():
         staged = staged.selectExpr("*", *texts)
     processed = F.current_timestamp() if as_of is None else as_of
-    return staged.select(
+    targets = [
         F.expr(compiler.expression(first)),
         F.date_format(processed, "yyyyMM").alias("pk_yearmonth"),
         F.lit(collection.name).alias("des_data_origin"),
         *[F.expr(compiler.expression(f)) for f in rest],
         F.lit(ORIGIN_LABEL).alias("des_source"),
-        *keep,
-    )
+    ]
+    if losses is None:
+        return staged.select(*targets, *keep)
+    return staged.select("*", *targets).select(*collection.mapped_columns, *keep, F.expr(compiler.losses()).alias(losses))
 
 
 def flatten_columns(df: DataFrame, separator: str = ".") -> DataFrame:

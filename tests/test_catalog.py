@@ -3,10 +3,10 @@
 import pytest
 
 import __spark_entry__ as contract
-from feedloom.catalog import documents, intake, telemetry
+from feedloom.catalog import documents, drift, intake, telemetry
 from feedloom.catalog.compare import differences
 
-OWN = {**documents.QUERIES, **intake.QUERIES, **telemetry.QUERIES}
+OWN = {**documents.QUERIES, **intake.QUERIES, **drift.QUERIES, **telemetry.QUERIES}
 QUERIES = {name: run for name, run in contract.queries().items() if name in OWN}
 ORACLES = {name: sql for name, sql in contract.oracle_sql().items() if name in OWN}
 
