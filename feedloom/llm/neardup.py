@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from feedloom.llm.blocks import blocked, groups
-from feedloom.llm.common import MIX, Memo, lower_words, slices, stage
+from feedloom.llm.common import MIX, WORD, Memo, lower_words, slices, stage
 from feedloom.llm.components import components
 
 WIDTH, PERCENT, K, MATCH = 5, 75, 64, 34
@@ -60,8 +60,8 @@ def _word_hash():
     return Memo(xxhash.xxh3_64_intdigest, 100_000).__getitem__
 
 
-def sign(docs: DataFrame) -> DataFrame:
-    """doc_id, set size, node (digest of the set) and signature; node and signature are null for an empty set."""
+def sign(docs: DataFrame, *keep: str) -> DataFrame:
+    """doc_id, set size, node (digest of the set) and signature, beside the columns to keep; node and signature are null for an empty set."""
 
     def apply(batches):
         hashed = _word_hash()
@@ -69,15 +69,17 @@ def sign(docs: DataFrame) -> DataFrame:
             sets = [shingles(t, hashed) for t in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
+                    *(part.column(c) for c in keep),
                     part.column("doc_id"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                     pa.array([signature(s) if len(s) else None for s in sets], pa.list_(pa.int32())),
                 ],
-                names=["doc_id", "n", "node", "signature"],
+                names=[*keep, "doc_id", "n", "node", "signature"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(apply, "doc_id long, n long, node binary, signature array<int>")
+    kept = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
+    return docs.select(*keep, F.col("doc_id").cast("long"), "text").mapInArrow(apply, f"{kept}doc_id long, n long, node binary, signature array<int>")
 
 
 def full_sets(docs: DataFrame) -> DataFrame:
@@ -205,16 +207,21 @@ def remaining_links(posts: DataFrame, full: DataFrame, labels: DataFrame) -> Dat
     return dealt.mapInArrow(compare, "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id, kept."""
-    signed = stage(sign(docs), "nd-signed")
+def _grouped(docs: DataFrame, *keep: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Signed rows, their nodes, and the root of every node that is linked."""
+    signed = stage(sign(docs, *keep), "nd-signed")
     nodes = stage(signed.filter("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature")), "nd-nodes")
     posts = prefix_postings(nodes)
     full = candidates(docs, nodes, posts)
     links = stage(leader_links(posts, full), "nd-links")
     first = components(links).withColumnRenamed("node", "_node")
     more = stage(remaining_links(posts, full, first), "nd-more")
-    roots = components(links.union(more))
+    return signed, nodes, components(links.union(more))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles, component_id, kept."""
+    signed, nodes, roots = _grouped(docs)
     least = nodes.select("node", "doc_id").join(roots, "node").groupBy("root").agg(F.min("doc_id").alias("least"))
     classes = nodes.select("node", "doc_id").join(roots, "node", "left").join(least, "root", "left")
     classes = classes.select(F.col("node").alias("_node"), F.coalesce("least", "doc_id").alias("class"))
@@ -224,13 +231,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def first_of_class(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` of which one per class of near-duplicates stays: its smallest id, once; null ids all stay.
+    """Rows of ``docs`` of which one per class of near-duplicates stays: that of the smallest id (nulls last) and digest.
 
-    Rows that repeat the id kept stay once as well, the first by text.
+    A row is known by its id and the digest of its text, so different texts of one id, or without one, are told
+    apart; rows that repeat both stay once.  Texts without words are linked with nothing and all stay.
     """
-    classes = near_duplicates(docs).filter("kept").groupBy("doc_id").agg(F.count("n_shingles").alias("rows"))
-    kept = docs.join(classes.select(F.col("doc_id").alias("_kept"), "rows"), F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")))
-    once = kept.filter((F.col("rows") == 1) | F.col("doc_id").isNull()).drop("_kept", "rows")
-    many = kept.filter((F.col("rows") > 1) & F.col("doc_id").isNotNull()).drop("_kept", "rows")
-    first = many.withColumn("_place", F.row_number().over(W.partitionBy("doc_id").orderBy("text"))).filter("_place = 1").drop("_place")
-    return once.unionByName(first)
+    digest = F.md5(F.col("text").cast("binary"))
+    signed, _, roots = _grouped(docs.select("doc_id", "text", digest.alias("_digest")), "_digest")
+    rows = signed.filter("node is not null").select("doc_id", "_digest", "node").join(roots, "node", "left")
+    rows = rows.groupBy(F.coalesce("root", "node").alias("class"), "doc_id", "_digest").agg(F.count("node").alias("times"))
+    place = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id").alias("id"), F.col("_digest").alias("digest"), "times")
+    first = rows.groupBy("class").agg(F.min(place).alias("p")).select(*[F.col(f"p.{c}").alias(f"_nd_{c}") for c in ("id", "digest", "times")])
+    worded = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    kept = docs.filter(worded).join(first, F.col("doc_id").cast("long").eqNullSafe(F.col("_nd_id")) & (digest == F.col("_nd_digest")))
+    own = docs.columns
+    many = kept.filter("_nd_times > 1").dropDuplicates(["_nd_id", "_nd_digest"])
+    return kept.filter("_nd_times = 1").select(own).union(many.select(own)).union(docs.filter(~worded))

@@ -76,6 +76,23 @@ def test_null_ids_and_repeated_rows(spark):
     assert neardup.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_no_text_is_lost_where_ids_repeat_or_are_missing(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a), (1, b), (2, b + " more"), (None, c), (None, c), (None, c + " end"), (None, a + " x"), (3, ""), (3, ""), (None, None), (5, c + " q r"), (6, "lone text"), (6, "lone text")]
+    docs = spark.createDataFrame([(*r, 7, "k") for r in rows], "doc_id long, text string, rows int, times string")
+    kept = neardup.first_of_class(docs)
+    assert kept.columns == docs.columns
+    got = sorted((str(r["doc_id"]), str(r["text"])) for r in kept.collect())
+    assert got == sorted((str(i), str(t)) for i, t in [(1, a), (1, b), (5, c + " q r"), (3, ""), (3, ""), (None, None), (6, "lone text")])
+
+
+def test_first_of_class_matches_brute_force(spark):
+    rows = corpus(4)
+    want, _ = brute(rows)
+    got = neardup.first_of_class(spark.createDataFrame([(i, t, "x", 1) for i, t in rows], SCHEMA)).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted({c for c in want.values()})
+
+
 def test_components_of_chains_and_hubs(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(100, 129)]
     got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
