@@ -4,11 +4,13 @@ Each text has a suffix array of its words, built by prefix doubling: ranks of 1,
 distinct, so ordinary texts need few rounds.  The longest common prefix of neighbours comes from the same ranks,
 longest power first.  The words from position i that occur again begin at i or elsewhere are the larger of the
 two LCPs beside it in the array: the depth of the smallest LCP interval around it, a maximal repeated substring.
-Spans of at least ``SPAN`` words are united; a text fails if they cover more than ``COVER`` of it or if the longest
-repeat is more than ``LONGEST`` words and a tenth of the text.  All of it is per text and of n log n cost.
+Spans of at least ``SPAN`` words are united; a text fails if they cover more than ``COVER`` of it, or if the longest
+repeat alone is more than ``LONGEST`` words, whatever share of the text that is.  Both reach below the base rule, which
+counts repeated windows of three words and wants more than half of them; a line or two that come again in a short
+text stay below both.  All of it is per text and of n log n cost; a text of any length is judged whole.
 
 Defined results: null and empty texts have no words, zero counts and fail the base rule; repeated rows are judged
-each; extra columns are ignored.
+each; extra columns are ignored; no rows, no rows.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 from feedloom.llm.common import slices, words
 
 MIN_WORDS, WINDOW, MOST_REPEATED = 50, 3, 50
-SPAN, COVER, LONGEST = 8, 0.4, 50
+SPAN, COVER, LONGEST = 8, 0.35, 50
 SYMBOLS, SPACES = "#*$%&|<>", " \t\n\x0b\x0c\r"
 RESULT = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, covered_words long, longest_repeat long"
 
@@ -86,7 +88,7 @@ def measure(text: str | None) -> tuple:
     n, repeated, longest = len(found), covered(lengths, WINDOW, WINDOW), int(lengths.max(initial=0))
     spans = covered(lengths, SPAN, lengths)
     failed = n < MIN_WORDS or 100 * repeated > MOST_REPEATED * n
-    kept = not failed and spans <= COVER * n and not (longest > LONGEST and 10 * longest > n)
+    kept = not failed and spans <= COVER * n and longest <= LONGEST
     chars = len(text) - sum(map(text.count, SPACES))
     return n, chars, sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)), repeated, failed, kept, spans, longest
 
