@@ -108,6 +108,16 @@ def marginals(odds: np.ndarray, first: np.ndarray, move: np.ndarray, start: floa
     return joint[1] + joint[3], joint[:, ~first].sum(1).reshape(2, 2)
 
 
+def places(text: str) -> list[tuple[int, int]]:
+    """Where the tokens of the lower-cased text stand in the text itself, whose characters may be fewer."""
+    lowered = text.lower()
+    found = [m.span() for m in TOKEN.finditer(lowered)]
+    if len(lowered) == len(text):
+        return found
+    ends = np.cumsum([len(c.lower()) for c in text])
+    return [(int(np.searchsorted(ends, a, "right")), int(np.searchsorted(ends, b - 1, "right")) + 1) for a, b in found]
+
+
 def summary(chance: np.ndarray) -> tuple[float, float]:
     """What the curve sees of a text: expected offending tokens (log), and the strongest one."""
     hit = chance[chance > OFFENDING]
@@ -115,15 +125,14 @@ def summary(chance: np.ndarray) -> tuple[float, float]:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """doc_id, text and toxic of a sample of about ``sample`` training rows, written once; its ids are what is broadcast.
+    """doc_id, text and toxic of a sample of about ``sample`` training rows, written once.
 
     Rows that repeat an id and label count as one, so that copies of a labelled row do not enlarge the sample.
     """
     rows = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     share = min(1.0, sample / max(1, rows.count()))
     chosen = rows.filter(drawn("toxicity", share)).select(F.col("doc_id").alias("_id"), (F.col("toxic").cast("int") != 0).cast("int").alias("toxic"))
-    few = chosen.limit(2 * sample)  # the share above gives about ``sample``; twice that is a bound for the broadcast
-    found = docs.select("doc_id", "text").join(F.broadcast(few), F.col("doc_id") == F.col("_id"))
+    found = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_id"))  # broadcast where Spark measures it as small
     return stage(found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("doc_id", "text", "toxic"), "toxicity-sample")
 
 
@@ -137,23 +146,34 @@ def _stem_counts(batches):
         yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.string()), pa.array([v[0] for _, v in rows], pa.int64()), pa.array([v[1] for _, v in rows], pa.int64())], names=["stem", "clean", "toxic"])
 
 
-def offending_stems(sample: DataFrame, bound: int = 4 * SAMPLE) -> set[str]:
-    """Stems of toxic texts that clean texts hardly have, chosen until no other explains three more toxic texts."""
+def _stems_of_rows(batches):
+    for part in slices(batches, rows=4096):
+        rows, found = [], []
+        for row, text in zip(part.column("row").to_pylist(), part.column("text").to_pylist(), strict=True):
+            own = {s for w in set(TOKEN.findall((text or "").lower())) for s in stems(w)}
+            rows += [row] * len(own)
+            found += own
+        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(found, pa.string())], names=["row", "stem"])
+
+
+def offending_stems(sample: DataFrame) -> set[str]:
+    """Stems of toxic texts that clean texts hardly have, chosen until no other explains three more toxic texts.
+
+    The driver gets the numbers of the toxic sample rows that hold each candidate, and no text.
+    """
     kinds = {bool(r["toxic"]): r["count"] for r in sample.groupBy("toxic").count().collect()}
     if len(kinds) < 2:
         return set()
     counts = sample.select("text", "toxic").mapInArrow(_stem_counts, "stem string, clean long, toxic long").groupBy("stem").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     odds = kinds[False] / max(1, kinds[True])
-    rare = counts.filter((F.col("toxic") >= 3) & (F.col("clean") <= 0.02 * odds * F.col("toxic"))).orderBy(F.desc("toxic"), "stem").limit(bound).collect()
-    known = {r["stem"]: (r["toxic"], r["clean"]) for r in rare}
-    texts = {r["text"] for r in sample.filter("toxic = 1").select("text").collect()}  # toxic rows of the bounded sample
-    holders: dict[str, set[int]] = {}
-    for i, text in enumerate(texts):
-        for s in {s for w in set(TOKEN.findall((text or "").lower())) for s in stems(w)} & known.keys():
-            holders.setdefault(s, set()).add(i)
+    rare = counts.filter((F.col("toxic") >= 3) & (F.col("clean") <= 0.02 * odds * F.col("toxic"))).select("stem", "clean")
+    toxic = sample.filter("toxic = 1").select(F.xxhash64("text").alias("row"), "text").dropDuplicates(["row"])
+    held = toxic.mapInArrow(_stems_of_rows, "row long, stem string").join(rare, "stem").groupBy("stem").agg(F.first("clean").alias("clean"), F.collect_set("row").alias("rows")).collect()
+    clean = {r["stem"]: r["clean"] for r in held}
+    holders = {r["stem"]: set(r["rows"]) for r in held}
     chosen: set[str] = set()
     while holders:
-        best = max(holders, key=lambda s: (len(holders[s]) / (1 + known[s][1]), -len(s), s))
+        best = max(holders, key=lambda s: (len(holders[s]) / (1 + clean[s]), -len(s), s))
         gain = holders.pop(best)
         if len(gain) < 3:
             break
@@ -246,8 +266,8 @@ def tag(docs: DataFrame, field: Field | None, *keep: str) -> DataFrame:
                     scores[i] = 1 / (1 + math.exp(-max(-30.0, min(30.0, float(np.dot((1.0, *summary(own)), model.curve))))))
                     hit = np.flatnonzero(own > OFFENDING)
                     if len(hit):
-                        places = [m.span() for m in TOKEN.finditer(text.lower())]
-                        spans[i] = [dict(zip(("start", "end"), places[j])) for j in hit]
+                        at = places(text)
+                        spans[i] = [dict(zip(("start", "end"), at[j])) for j in hit]
             kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(scores, pa.float64()), pa.array(spans, kind)], names=[*keep, "score", "spans"])
 

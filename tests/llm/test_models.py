@@ -88,6 +88,14 @@ def test_toxic_texts_and_spans(spark):
     assert {text[s["start"] : s["end"]].lower() for s in got[i]["spans"]} == set(re.findall(r"\b(?:bad|vile)\w*", text.lower()))
 
 
+def test_places_are_those_of_the_text_itself():
+    text = "\u0130\u0130 a\u0130b vileness \u0130, end"
+    assert [text[a:b] for a, b in toxicity.places(text) if text[a:b].isascii()] == ["b", "vileness", "end"]
+    plain = "Bad, VILE x1y"
+    assert [plain[a:b] for a, b in toxicity.places(plain)] == ["Bad", "VILE", "x", "y"]
+    assert len(toxicity.places(text)) == len(toxicity.TOKEN.findall(text.lower()))
+
+
 def test_toxicity_without_labels_or_rows(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
@@ -118,6 +126,20 @@ def test_notices_match_brute_force(spark):
             assert got[i][0]["license"] == {t: n for n, t in licenses.TEMPLATES}[line]
 
 
+def test_the_search_ahead_loses_no_match():
+    likely = re.compile(licenses._any_of(licenses.needed(licenses.TEMPLATES) | licenses.needed([*licenses.TEMPLATES, *licenses.HEADERS]) | licenses.needed(licenses.BODIES)))
+    rnd, seen = random.Random(2), [0, 0]
+    for _, text in licenses.TEMPLATES:
+        for _ in range(300):
+            line = " ".join(w for w in text.split() if rnd.random() < 0.75)
+            match = brute_cosines(line, licenses.TEMPLATES)[0] >= licenses.THRESHOLD if licenses.terms(line) else False
+            seen[match] += 1
+            assert likely.search(line) or not match
+    assert min(seen) > 100
+    assert not likely.search("the code is free: copy it into 4 or 5 small things, smith and omit")
+    assert all(likely.search(text) for _, text in [*licenses.HEADERS, *licenses.BODIES])
+
+
 def test_licenses_are_inherited_from_the_nearest_directory(spark):
     mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
     rows = [(1, "LICENSE", mit), (2, "a/LICENSE", gpl), (3, "a/b/c/x.txt", "text"), (4, "d/y.txt", "text"), (5, "a/own.txt", "word " * 200 + "\n" + mit), (6, None, None), (7, "ab/z.txt", ""), (3, "a/b/c/x.txt", "text")]
