@@ -16,7 +16,7 @@ from ..operators.mapping import flatten_columns
 from ..plans.collections import DEFAULT_COLLECTION, REGISTRY
 from ..plans.ingest import CARRIED, route_messages, write_all_tables
 from ..session import prepare, table, work_dir
-from ..sources.archive import read_archive_table
+from ..sources.archive import read_archive_files, read_archive_table
 from ..sources.changefeed import read_changes, stream_changes
 from ..sources.messages import stream_messages
 from ..sources.metric_log import metric_lines
@@ -168,9 +168,12 @@ QUERIES["rejected_messages"] = (
 )
 QUERIES["error_records"] = (
     lambda spark, sf_dir: D.error_records(D.decode(feeds.messages(prepare(spark), sf_dir)), "archive", as_of()).select(
-        "message_id", "error_type", "bucket", "path", "error_date", "retryable"
+        "message_id", "error", "error_type", "original_event", "bucket", "path", "error_date", "retryable"
     ),
-    f"WITH {_M} SELECT message_id, fault AS error_type, 'archive' AS bucket, "
+    f"WITH {_M} SELECT message_id, fault AS error_type, CASE fault WHEN 'bad_request' THEN 'no usable data in message' ELSE 'message data is not base64' END AS error, "
+    "'{\"messageId\":\"' || message_id || '\",\"attributes\":{\"operation\":\"' || op || '\",\"collection\":\"' || coll || '\",\"database\":\"shop\",\"correlation_id\":\"c-' || event_id || '\"},'"
+    f" || '\"data\":\"' || CASE WHEN {feeds.NO_DATA} THEN '' WHEN {feeds.BROKEN} THEN '%%not base64%%' ELSE base64(encode('plain words')) END || '\",'"
+    " || '\"publishTime\":\"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') || '\"}' AS original_event, 'archive' AS bucket, "
     f"'errors/{AS_OF[:10]}/' || message_id || '_' || CAST(epoch(TIMESTAMP '{AS_OF}') AS BIGINT) || '.json' AS path, "
     f"DATE '{AS_OF[:10]}' AS error_date, false AS retryable FROM d, generate_series(1, copies) WHERE fault IS NOT NULL",
 )
@@ -303,6 +306,23 @@ QUERIES["archive_replay"] = (
     f"WITH {_M} SELECT coll AS collection, op AS operation, disposition, count(*) AS n FROM d WHERE fault IS NULL AND coll = 'customers' GROUP BY ALL",
 )
 
+def _replayed_files(spark, sf_dir):
+    """Every archived message written as an object of its own, and all objects replayed by a wildcard."""
+    path, root = work_dir(prepare(spark), "raw"), work_dir(spark, "objects")
+    AR.write_archive(AR.archive_rows(D.decode(feeds.messages(spark, sf_dir)), as_of()), path)
+    AR.write_objects(read_committed(spark, path), root)
+    files = read_archive_files(spark, f"{root}/raw/*/*/*")
+    routed = RT.route(RT.dispatch(files), REGISTRY, DEFAULT_COLLECTION).select("message_id", "collection", "operation", "disposition")
+    return routed.join(files.select("message_id", F.sha2("payload", 256).alias("payload_sha256")), "message_id")
+
+
+QUERIES["archive_files_replay"] = (
+    _replayed_files,
+    f"WITH {_M}, r AS (SELECT *, {feeds.NOT_JSON} AS odd FROM d WHERE NOT ({feeds.NO_DATA}) AND NOT ({feeds.BROKEN})) "
+    "SELECT message_id, CASE WHEN NOT odd THEN coll END AS collection, CASE WHEN odd THEN 'unknown' ELSE op END AS operation, disposition, "
+    "sha256(CASE WHEN odd THEN 'plain words' ELSE envelope END) AS payload_sha256 FROM r",
+)
+
 # --- conformance --------------------------------------------------------------------------
 
 # customer rows against a target that lacks a column, has another, and disagrees on types.
@@ -369,19 +389,20 @@ QUERIES["recovery_summary"] = (
 
 
 def _mapped_quality(spark, sf_dir):
-    """Null shares of the customers table as mapped from messages, operation by operation."""
-    from ..plans.ingest import transform_collection
-    routed = route_messages(feeds.messages(prepare(spark), sf_dir, copies=False))
-    rows = transform_collection(routed, "customers", as_of())
-    measures = CF.column_measures(rows.drop(*CARRIED[1:]), REGISTRY["customers"].schema, ("_operation",))
-    return measures.filter(F.col("field").isin("pk_client", "des_email", "val_legacy_id", "des_subscription_status", "val_dogs_count"))
+    """Null and lost values of every field of the customers table as written from redelivered messages, by operation."""
+    out = work_dir(prepare(spark), "tables")
+    written = write_all_tables(feeds.messages(spark, sf_dir), out, work_dir(spark, "routed"), as_of(), ["customers"])
+    return CF.column_measures(read_committed(spark, written["customers"]), REGISTRY["customers"].schema, ("_operation",), "_lost")
 
 
+_ALWAYS = ("pk_client", "pk_yearmonth", "des_data_origin", "des_source", "val_active_orders_count")
+_OF_DOCUMENTS = ("des_email", "val_legacy_id", "des_subscription_status")
 QUERIES["mapped_null_counts"] = (
     _mapped_quality,
-    f"WITH {_M}, c AS (SELECT op, count(*) AS rows FROM d WHERE disposition = 'processed' AND coll = 'customers' GROUP BY 1) "
-    "SELECT op AS _operation, rows, field, CASE WHEN field = 'val_dogs_count' OR (op = 'delete' AND field <> 'pk_client') OR (op = 'drop' AND field <> 'pk_client') THEN rows ELSE 0 END AS nulls, "
-    "CAST(0 AS BIGINT) AS lost FROM c, (VALUES ('pk_client'), ('des_email'), ('val_legacy_id'), ('des_subscription_status'), ('val_dogs_count')) f(field)",
+    f"WITH {_M}, c AS (SELECT op, count(*) AS rows FROM d WHERE disposition = 'processed' AND coll = 'customers' GROUP BY 1), "
+    "f AS (SELECT unnest([" + ", ".join(f"'{name}'" for name, _ in REGISTRY["customers"].target_columns) + "]) AS field) "
+    f"SELECT op AS _operation, rows, field, CASE WHEN field IN {_ALWAYS} OR (field IN {_OF_DOCUMENTS} AND op NOT IN ('delete', 'drop')) THEN 0 ELSE rows END AS nulls, "
+    "CAST(0 AS BIGINT) AS lost FROM c, f",
 )
 QUERIES["flattened_messages"] = (
     lambda spark, sf_dir: flatten_columns(

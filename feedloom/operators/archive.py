@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,6 +71,30 @@ def write_archive(rows: DataFrame, path: str) -> int:
     return ledger.add_once(rows, path, key, ["publish_time", "received_at", "path"], ["collection", "ingest_date"])
 
 
+def write_objects(rows: DataFrame, root: str) -> int:
+    """Writes each archive row's payload, byte for byte, as an object at its path below ``root``; returns how many.
+
+    ``root`` is a folder that all executors share, or any URI that Arrow's file systems know.  An object appears
+    whole under its name, so a task tried again, or a whole run, leaves the same objects.
+    """
+
+    def put(batches):
+        from pyarrow import fs
+
+        place, base = fs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (fs.LocalFileSystem(), root)
+        for batch in batches:
+            for path, payload in zip(batch.column("path").to_pylist(), batch.column("payload").to_pylist(), strict=True):
+                name = f"{base}/{path}"
+                place.create_dir(name.rpartition("/")[0], recursive=True)
+                part = f"{name}.{uuid.uuid4().hex}"
+                with place.open_output_stream(part) as out:
+                    out.write(payload)
+                place.move(part, name)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["objects"])
+
+    return rows.select("path", "payload").mapInArrow(put, "objects bigint").agg(F.sum("objects")).first()[0] or 0
+
+
 def write_collection_table(table: DataFrame, path: str, as_of: Column | None = None) -> int:
     """Adds rows to the processed table of a collection, partitioned by operation and event date.
 

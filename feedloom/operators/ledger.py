@@ -3,7 +3,7 @@
 Below a table's path lie
 
 * ``_batch=<attempt>/...``: the rows, by the attempt that wrote them, in their own partitions;
-* ``_keys/_batch=<attempt>``: an index, 16 bytes a row: the digests of these rows' keys, sorted;
+* ``_keys/_batch=<attempt>``: an index, 16 bytes a row: the digests of these rows' keys;
 * ``_commits``: one line for each attempt that went through.
 
 An attempt writes its rows first, then its part of the index, and its line last; nobody reads an attempt without a
@@ -26,8 +26,8 @@ from pyspark.sql import types as T
 
 from .dedup import first_per_key
 
-#: ``rows`` is null for a line that only joins parts of the index; ``replaces`` names what a line stands in for.
-COMMIT = "attempt string, rows bigint, replaces array<string>"
+#: ``index`` marks a line that only joins parts of the index; ``replaces`` names what a line stands in for.
+COMMIT = "attempt string, index boolean, replaces array<string>"
 
 
 def digest(*keys: str | Column) -> Column:
@@ -63,10 +63,10 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], COMMIT)
 
 
-def _commit(spark: SparkSession, path: str, attempt: str, rows: int | None, replaces: list[str]) -> None:
+def _commit(spark: SparkSession, path: str, attempt: str, replaces: list[str], index: bool = False) -> None:
     """One line, in a file that appears whole or not at all."""
     line = spark.range(1).select(
-        F.lit(attempt).alias("attempt"), F.lit(rows).cast("bigint").alias("rows"),
+        F.lit(attempt).alias("attempt"), F.lit(index).alias("index"),
         F.lit(replaces).cast("array<string>").alias("replaces"),
     )
     line.coalesce(1).write.mode("append").json(f"{path}/_commits")
@@ -74,7 +74,7 @@ def _commit(spark: SparkSession, path: str, attempt: str, rows: int | None, repl
 
 def _whole(spark: SparkSession, path: str) -> DataFrame:
     """Attempts whose rows count."""
-    lines = _lines(spark, path).filter("rows IS NOT NULL")
+    lines = _lines(spark, path).filter("NOT index")
     return lines.join(lines.select(F.explode("replaces").alias("attempt")), "attempt", "left_anti").select("attempt").distinct()
 
 
@@ -118,7 +118,7 @@ def _new_attempt() -> str:
 
 
 def _write_keys(keys: DataFrame, path: str, attempt: str) -> None:
-    keys.repartitionByRange("_key").sortWithinPartitions("_key").write.parquet(f"{path}/_keys/_batch={attempt}")
+    keys.sortWithinPartitions("_key").write.parquet(f"{path}/_keys/_batch={attempt}")
 
 
 def add_once(rows: DataFrame, path: str, key: Column, order: list[str], parts: list[str]) -> int:
@@ -139,7 +139,7 @@ def add_once(rows: DataFrame, path: str, key: Column, order: list[str], parts: l
     added = mine.count()
     if added:
         _write_keys(mine.select("_key"), path, attempt)
-        _commit(spark, path, attempt, added, [])
+        _commit(spark, path, attempt, [])
     else:
         remove(spark, place)
     return added
@@ -161,7 +161,7 @@ def put(rows: DataFrame, path: str, attempt: str, parts: list[str], replaces: li
     """Writes rows as the attempt of that name; the same attempt again takes the place of the first."""
     spark = rows.sparkSession
     write_parts(rows, f"{path}/_batch={attempt}", "overwrite", *parts)
-    _commit(spark, path, attempt, spark.read.schema(rows.schema).parquet(f"{path}/_batch={attempt}").count(), replaces or [])
+    _commit(spark, path, attempt, replaces or [])
 
 
 def merge(spark: SparkSession, path: str, combine, parts: list[str]) -> None:
@@ -178,7 +178,7 @@ def compact_keys(spark: SparkSession, path: str) -> None:
     parts = [r["_batch"] for r in _live_parts(spark, path).collect()]  # one name a batch since the last time
     if len(parts) > 1:
         attempt = _new_attempt()
-        _write_keys(known_keys(spark, path), path, attempt)
-        _commit(spark, path, attempt, None, parts)
+        _write_keys(known_keys(spark, path).repartitionByRange("_key"), path, attempt)
+        _commit(spark, path, attempt, parts, index=True)
         for part in parts:
             remove(spark, f"{path}/_keys/_batch={part}")

@@ -85,6 +85,29 @@ def test_archived_files_replay_by_wildcard(spark, tmp_path):
     assert {(r["message_id"], r["disposition"]) for r in rows} == {("m1", "processed"), ("m2", "bad_request")}
 
 
+def test_archive_files_are_read_as_bytes(spark, tmp_path):
+    folder = tmp_path / "raw" / "orders" / "m1-2024-01-01"
+    folder.mkdir(parents=True)
+    bodies = {"m1": json.dumps(envelope("orders", {"_id": "é"})).encode(), "m2": b'{"a":"\xff"}', "m_3": b" ", "m4": b'{"collection":"orders","document":{"_id":"1"}}\r\n'}
+    for name, body in bodies.items():
+        (folder / f"insert_20240101_000000_{name}.json").write_bytes(body)
+    (folder / "notes.txt").write_text("no object")
+    (folder / "insert_20240101_000000_m5.json").write_bytes(b"")
+    rows = {r["message_id"]: r for r in read_archive_files(spark, f"{tmp_path}/raw/*/*").collect()}
+    assert {name: bytes(r["payload"]) for name, r in rows.items()} == bodies
+    assert {name for name, r in rows.items() if r["decode_error"] == "bad_request"} == {"m2", "m_3"}
+    assert read_archive_files(spark, f"{tmp_path}/raw/*/*", modified_after="2999-01-01 00:00:00").count() == 0
+    assert read_archive_files(spark, f"{tmp_path}/raw/*/*", modified_before="2999-01-01 00:00:00").count() == 4
+
+
+def test_objects_are_written_once_and_whole(spark, tmp_path):
+    rows = AR.archive_rows(decode(messages(spark, [envelope("orders", {"_id": "1"}), "plain words"])), as_of())
+    for _ in range(2):
+        assert AR.write_objects(rows, str(tmp_path)) == 2
+    files = [p for p in tmp_path.rglob("*") if p.is_file()]
+    assert {str(p.relative_to(tmp_path)): p.read_bytes() for p in files} == {r["path"]: bytes(r["payload"]) for r in rows.collect()}
+
+
 def test_archive_adds_only_unseen_messages(spark):
     path = work_dir(spark, "raw")
     first = messages(spark, [envelope("orders", {"_id": "1"}), envelope("orders", {"_id": "2"})])
