@@ -19,6 +19,8 @@ from feedloom.session import table, work_dir
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: A word is a run without the six ASCII white spaces; bytes.split() cuts at just these.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Letters and marks that tokenizers' splits of any version agree on: İ, whose lower case is two characters, is left out.
+LATIN, MARKS = "A-Za-zÀ-ÖØ-öø-įı-ɏ", r"!-/:-@\[-`{-~"
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
 
@@ -59,32 +61,38 @@ class Memo(dict):
         return value
 
 
-class Recent:
-    """A cache of about ``limit`` bytes in two generations: when the young one is full it becomes the old one.
+class Recent(dict):
+    """A cache of about ``limit`` bytes in two generations: when the young one, the dict itself, is full it becomes the old one.
 
     A key met again moves to the young one, so frequent keys outlive any number of rare ones.
     """
 
-    def __init__(self, limit: int = 64 << 20, longest: int = 256):
-        self.limit, self.longest = limit, longest
-        self.young, self.old, self.held = {}, {}, 0
+    def __init__(self, function=None, limit: int = 64 << 20, longest: int = 256):
+        super().__init__()
+        self.function, self.limit, self.longest = function, limit, longest
+        self.old, self.held = {}, 0
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.function(key)
+        self._put(key, value)
+        return value
 
-    def values(self, keys: Iterable, compute) -> dict:
-        """Values of distinct ``keys``; all that are in neither generation come from one call ``compute(list)``."""
-        found, missed = {}, []
-        for key in keys:
-            value = self.young.get(key)
+    def values_of(self, keys: Iterable, compute) -> dict:
+        """Values of ``keys``; all that are in neither generation come from one call ``compute(list)``."""
+        young, keys = self.get, set(keys)
+        found, missed = {k: v for k in keys if (v := young(k)) is not None}, []
+        for key in keys - found.keys():
+            value = self.old.get(key)
             if value is None:
-                value = self.old.get(key)
-                if value is None:
-                    missed.append(key)
-                    continue
-                self._put(key, value)
-            found[key] = value
-        if missed:
-            for key, value in zip(missed, compute(missed), strict=True):
+                missed.append(key)
+            else:
                 found[key] = value
                 self._put(key, value)
+        for key, value in zip(missed, compute(missed) if missed else (), strict=True):
+            found[key] = value
+            self._put(key, value)
         return found
 
     def _put(self, key, value) -> None:
@@ -92,8 +100,9 @@ class Recent:
         if size > self.longest:
             return
         if self.held >= self.limit // 2:
-            self.young, self.old, self.held = {}, self.young, 0
-        self.young[key] = value
+            self.old, self.held = dict(self), 0
+            self.clear()
+        self[key] = value
         self.held += size + 150  # what a key, a value and their place in a dict take beside their letters
 
 

@@ -14,22 +14,32 @@ every piece but the first is full; rows that repeat are packed each; no rows, no
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import Memo, slices, stage
+from feedloom.llm.common import LATIN, MARKS, Recent, chunks, slices, stage
 
 CAPACITY, END_ID = 2048, 0
 TOKENIZER = "byte_bpe_50k.json"
-#: Fixed: the byte-level tokenizer's own split of a text into parts that it encodes one by one.
-PARTS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Fixed: the byte-level tokenizer's own split of a text into parts that it encodes one by one, for the characters it is certain of.
+PARTS = re.compile(rf" ?[{LATIN}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{MARKS}]+| ?[0-9]+|\s+(?!\S)|\s+")
+UNCERTAIN = rf"[^{LATIN}{MARKS}0-9 \t-\r]"
+#: A space between two other characters begins a part, whatever stands around it.
+BORDER, UNITS = re.compile(r"(?<=\S) (?=\S)"), re.compile(r"(?<=\S)(?= \S)")
+LONG = 1 << 20
+#: Fixed by rule: the letter by which the byte-level model knows each byte, itself if it is printable.
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTES = dict(zip([*PRINTABLE, *(b for b in range(256) if b not in PRINTABLE)], [*PRINTABLE, *range(256, 324)], strict=True))
+SPACE = chr(BYTES[32])
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -39,23 +49,43 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 class Encoder:
-    """Ids of a text as little-endian 32-bit bytes; parts seen before come from a bounded cache."""
+    """Ids of texts as little-endian 32-bit bytes.
+
+    Texts are cut into the tokenizer's parts; where a character is not certain, the word with it stays whole.  Parts
+    met before come from a bounded cache that keeps the frequent ones.
+    """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks share the cores already
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.split = regex.compile(PARTS).findall
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cache = Memo(self.whole, 300_000)
+        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.merge = self.tokenizer.model.tokenize
+        self.uncertain = re.compile("|".join([UNCERTAIN, *special])).search
+        self.cache = Recent(self.encode, 128 << 20)
 
     def whole(self, text: str) -> bytes:
+        """Ids by the tokenizer's whole way."""
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def encode(self, part: str) -> bytes:
+        """Ids of a part; a certain one is a word of the model as it stands."""
+        if self.uncertain(part):
+            return self.whole(part)
+        plain = part.isascii() and part.isprintable()  # then the space alone has another letter
+        return array("I", [t.id for t in self.merge(part.replace(" ", SPACE) if plain else part.encode().decode("latin-1").translate(BYTES))]).tobytes()
+
+    def short(self, text: str) -> bytes:
+        """Ids of a text of bounded size."""
+        if self.uncertain(text):
+            parts = [p for u in UNITS.split(text) for p in ([u] if self.uncertain(u) else PARTS.findall(u))]
+        else:
+            parts = PARTS.findall(text)
+        return b"".join(map(self.cache.__getitem__, parts))
+
     def __call__(self, text: str) -> bytes:
-        if any(s in text for s in self.special):
-            return self.whole(text)
-        return b"".join(map(self.cache.__getitem__, self.split(text)))
+        return b"".join(map(self.short, chunks(text, BORDER, LONG)))
 
 
 @lru_cache(maxsize=2)

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import Recent, chunks, slices
+from feedloom.llm.common import LATIN, MARKS, Recent, chunks, slices
 from feedloom.llm.packing import tokenizer_path
 
 TOKENIZER, LIMIT = "word_bpe_49k.json", 2048
@@ -35,8 +35,6 @@ TOKENIZER, LIMIT = "word_bpe_49k.json", 2048
 SAMPLE, TASKS, FREQUENT = 4000, 8, 1 << 16
 
 SPACE = re.compile(r"[\x20\t-\r]")
-LATIN = "A-Za-zÀ-ÖØ-öø-įı-ɏ"  # without İ, whose lower case is two characters
-MARKS = r"""!-/:-@\[-`{-~"""
 #: Fixed: the tokenizer's split of lower-cased text, spelled out for the characters it is certain of.
 CERTAIN = rf"'(?:[sStTmMdD]|[rR][eE]|[vV][eE]|[lL][lL])|[{LATIN}]+|[0-9]|[{MARKS}]+"
 PARTS = re.compile(CERTAIN)
@@ -76,7 +74,7 @@ class Counts:
 
     def __call__(self, parts, frequent: dict) -> dict:
         known = {p: frequent[p] for p in parts if p in frequent}
-        return known | self.cache.values((p for p in parts if p not in known), self.encode)
+        return known | self.cache.values_of((p for p in parts if p not in known), self.encode)
 
 
 @lru_cache(maxsize=2)

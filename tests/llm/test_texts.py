@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from feedloom.llm import chat, mixing, packing, quality, sharding
-from feedloom.llm.common import words
+from feedloom.llm.common import source, words
 
 TEXTS = [None, "", "  ", "a", "a b c", "x " * 40, "y\u2003z \x0b q", "long word " * 4000]
 
@@ -134,6 +134,15 @@ def test_packed_pieces_are_gapless_and_true(spark):
     assert packing.pack(docs(spark, rows).limit(0), capacity=64).count() == 0
 
 
+def test_ids_are_the_library_s(spark, sf_dir):
+    encode, rnd = packing.Encoder(packing.tokenizer_path()), random.Random(3)
+    alphabet = [chr(i) for i in range(1, 0x250)] + list("̸́ςẞ 　一‍﻿\U0001f600")
+    texts = [*filter(None, TEXTS), "  a  b ", "a\n b\n\n c \t d", "it's IT'S ''s a<|endoftext|>b <|endoftext|> c", "a\x1c b \x85 c", " x" * 700_000]
+    texts += ["".join(rnd.choice(alphabet if rnd.random() < 0.4 else "aeST's lr  <|>!1\n\t") for _ in range(rnd.randint(1, 40))) for _ in range(4000)]
+    texts += [r["text"] for r in source(spark, sf_dir).collect()]
+    assert [t for t in texts if encode(t) != encode.whole(t)] == []
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet="\\</s>[INST] a\n|é", max_size=40), st.sampled_from(["user", "assistant", "", "tool\n\\", "<s>"]))
 def test_messages_read_back(text, role):
@@ -188,6 +197,36 @@ def test_quality_of_odd_texts(spark):
     assert quality.measure(" ".join(f"w{i}" for i in range(80)))[6]
 
 
+def test_repetition_decides_beyond_the_base_rule():
+    plain = [f"w{i}" for i in range(3000)]
+
+    def verdict(words_):
+        m = quality.measure(" ".join(words_))
+        return m[5], m[6]  # base_failed, kept
+
+    assert verdict(plain + plain[100:151]) == (False, False)  # a repeat of 51 words in 3,051
+    assert verdict(plain + plain[100:150]) == (False, True)
+    lines = [plain[10 * i : 10 * i + 10] for i in range(30)]
+    assert verdict([w for line in lines for w in line] + [w for line in lines[:7] for w in [*line, "x"]]) == (False, False)  # 140 of 377 words
+    assert verdict([w for line in lines for w in line] + [w for line in lines[:3] for w in [*line, "x"]]) == (False, True)
+    assert verdict(plain[:70] + plain[:9]) == (False, True)  # one line that comes again in a short text
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from(["a", "b#", "é", "\n", " ", "\t", "<x>", "\n\n", "a b\n"]), max_size=40))
+def test_base_measures_match_brute_force(parts):
+    text = "".join(parts)
+    found, lines, seen = words(text), 0, set()
+    for line in text.split("\n"):
+        if words(line):
+            lines += line in seen
+            seen.add(line)
+    m = quality.measure(text)
+    assert m[1] == sum(len(w.decode()) for w in found) and m[2] == sum(c in "#*$%&|<>" for c in text) and m[3] == lines
+    assert m[5] == (len(found) < 50 or 100 * m[4] > 50 * len(found))
+    assert m[6] == (not m[5] and m[7] <= quality.COVER * len(found) and m[8] <= quality.LONGEST)
+
+
 def test_written_shards_of_a_hot_key_fit_their_limit(spark, tmp_path):
     rows = [(i, "z" * 50, "s") for i in range(60)] + [(7, "h" * 40 + str(i), "s") for i in range(60)] + [(None, "n" * 45, "s")] * 50
     places = {r["shard"]: r["rows"] for r in sharding.write_shards(docs(spark, rows), str(tmp_path / "out"), limit=400).collect()}

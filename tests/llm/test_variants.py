@@ -114,13 +114,16 @@ def test_summaries_are_bounded_and_keep_the_frequent():
 
 
 def test_recent_keeps_what_is_met_again():
-    cache, calls = Recent(limit=40_000), []
+    calls = []
 
     def compute(keys):
         calls.extend(keys)
         return [len(k) for k in keys]
 
+    cache = Recent(lambda key: compute([key])[0], limit=40_000)
     for i in range(3000):
-        assert cache.values(["hot", f"cold{i}"], compute) == {"hot": 3, f"cold{i}": len(f"cold{i}")}
-    assert calls.count("hot") == 1 and len(cache.young) + len(cache.old) < 300
-    assert cache.values(["y" * 999], compute) == {"y" * 999: 999} and "y" * 999 not in cache.young
+        assert cache.values_of(["hot", f"cold{i}"], compute) == {"hot": 3, f"cold{i}": len(f"cold{i}")}
+        assert cache["warm"] == 4
+    assert calls.count("hot") == calls.count("warm") == 1 and len(cache) + len(cache.old) < 300
+    assert cache["y" * 999] == 999 and "y" * 999 not in cache
+    assert cache.values_of(["y" * 999], compute) == {"y" * 999: 999}
