@@ -3,7 +3,8 @@
 A file's lines are compared with the templates as sparse vectors.  A template's heaviest terms are its anchors: so many
 that a line without any of them cannot reach the threshold, however it is composed, so lines are passed over by one
 array test and nothing is lost.  For the lines left, dot products run over their terms and the templates' weights, which
-are constants of the plan (their number is fixed here), so scanning moves no row.
+are constants of the plan (their number is fixed here), so scanning moves no row.  Before a text is cut into lines and
+terms at all, it is searched for the terms without which none of its lines or windows can reach the threshold.
 
 Notices that wrap over lines or stand inside long ones are found in the whole text's terms: windows as long as a
 template are compared with it, so line breaks, paragraphs and comment marks do not count.  Windows of short notices
@@ -28,6 +29,7 @@ import json
 import math
 import re
 from collections import Counter
+from functools import lru_cache, reduce
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
@@ -73,7 +75,7 @@ TEMPLATES = [
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 
-#: Notices that are looked for in windows alone, beside the templates: they differ from those by the version or name only.
+#: Notices that are looked for in windows alone, beside the templates: they differ from those by the version or name only.
 HEADERS = [
     ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License"),
     ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License"),
@@ -116,6 +118,60 @@ def model(templates=TEMPLATES, threshold: float = THRESHOLD) -> tuple[list[tuple
     return rows, 1 + math.log(1 + len(bags)), anchors
 
 
+def needed(templates, threshold: float = THRESHOLD) -> set[str]:
+    """Terms of which a text must have one for anything in it to reach the threshold with any of the templates.
+
+    A cosine is at most the root of the squared weights of the template's terms that are there.  So many terms are
+    taken that those left stay below the threshold: long words first, as prose hardly has them.
+    """
+    rows, _, _ = model(templates, threshold)
+    chosen = set()
+    for i in range(len(templates)):
+        left, unit = 1.0, {t: u for k, _, t, _, u in rows if k == i}
+        for t in sorted(unit, key=lambda t: (len(t) < 5 or t.isdigit(), -unit[t], t)):
+            if left < (threshold - 1e-6) ** 2:
+                break
+            chosen.add(t)
+            left -= unit[t] ** 2
+    return chosen
+
+
+def few_needed(templates, threshold: float = THRESHOLD) -> set[str]:
+    """As ``needed``, but as few strings as a greedy choice finds for all templates together.
+
+    A string stands for all terms that it is part of, and each one is taken for what it adds where most is missing.
+    """
+    rows, _, _ = model(templates, threshold)
+    need = 1 - (threshold - 1e-6) ** 2 + 1e-9
+    open_ = [{t: u * u for k, _, t, _, u in rows if k == i} for i in range(len(templates))]
+    got, chosen = [0.0] * len(open_), set()
+    terms_ = sorted({t for own in open_ for t in own})
+    within = {t: [x for x in terms_ if t in x] for t in terms_}
+    while any(g < need for g in got):
+        gain = {t: sum(min(need - g, sum(own.get(x, 0.0) for x in within[t])) for own, g in zip(open_, got, strict=True) if g < need) for t in terms_}
+        best = max(terms_, key=lambda t: (gain[t] > 1e-9, min(len(t), 4), t.isalpha(), gain[t], t))  # prose has few of the longer ones
+        chosen.add(best)
+        for i, own in enumerate(open_):
+            got[i] += sum(own.pop(x, 0.0) for x in within[best])
+    return chosen
+
+
+@lru_cache(maxsize=4)
+def _searches(templates: tuple, headers: tuple, bodies: tuple, threshold: float) -> tuple[tuple[str, ...], str]:
+    """Strings of which a text must have one, and a pattern of which it must have a match: each loses nothing."""
+    kinds = [templates, (*templates, *headers), bodies]
+    strings = set().union(*(few_needed(k, threshold) for k in kinds))
+    return tuple(sorted(strings)), _any_of(set().union(*(needed(k, threshold) for k in kinds)))
+
+
+def _any_of(names: set[str]) -> str:
+    """Pattern of texts with one of some terms, by their first letters; a hit need not be a whole term."""
+    heads: dict[str, list[str]] = {}
+    for t in sorted(names):
+        heads.setdefault(t[0], []).append(re.escape(t[1:]))
+    return "(?i)(?<![a-z0-9+])(?:" + "|".join(f"{re.escape(h)}(?:{'|'.join(rest)})" for h, rest in heads.items()) + ")(?![a-z0-9+])"
+
+
 def _weights(pairs: list[tuple[str, float]]) -> Column:
     return F.create_map(*[F.lit(x) for pair in pairs for x in pair])
 
@@ -201,9 +257,13 @@ LINES = "array<struct<cosine:double,license:string,terms:int>>"
 SPANS = "array<struct<cosine:double,license:string,start:int,stop:int>>"
 
 
-def matches(text: Column, templates=TEMPLATES, threshold: float = THRESHOLD, headers=HEADERS, bodies=BODIES) -> Column:
+def matches(text: Column, templates=TEMPLATES, threshold: float = THRESHOLD, headers=HEADERS, bodies=BODIES, low: Column | None = None) -> Column:
     """What a text has of the templates: its lines, windows of its terms that match notices (``short``) and full texts
-    (``full``), whether it does so as a whole, and the number of its terms.  It is cut into terms once."""
+    (``full``), whether it does so as a whole, and the number of its terms; null without any term that a match needs.
+    The raw text (``low``: in lower case) is searched for these first, as strings and by a pattern; it is cut into terms once."""
+    strings, likely = _searches(tuple(templates), tuple(headers), tuple(bodies), threshold)
+    low = F.lower(text) if low is None else low
+    passed = reduce(Column.__or__, (low.contains(s) for s in strings)) & text.rlike(likely)
     kinds = {"short": _shapes([*templates, *headers], threshold, None), "full": _shapes(bodies, threshold, STEPS)}
     anchors = sorted(model(templates, threshold)[2])
     heavy = sorted({*anchors, *(t for _, seen, _ in kinds.values() for t in seen)})
@@ -229,7 +289,7 @@ def matches(text: Column, templates=TEMPLATES, threshold: float = THRESHOLD, hea
         ))
 
     cut = F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), term_array)
-    return _let(cut, lambda lines: _let(F.flatten(lines), lambda ts: judged(lines, ts)))
+    return F.when(passed, _let(cut, lambda lines: _let(F.flatten(lines), lambda ts: judged(lines, ts))))
 
 
 def _held(spans: Column) -> Column:
@@ -255,7 +315,8 @@ def scan(files: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, he
 
     ``inherited_from`` is null where the license is the file's own or where there is none.
     """
-    found = files.select("doc_id", parent(F.col("path")).alias("directory"), matches(F.col("text"), templates, threshold, headers, bodies).alias("m")).select("doc_id", "directory", "m.*")
+    lowered = files.select("doc_id", parent(F.col("path")).alias("directory"), "text", F.lower("text").alias("low"))
+    found = lowered.select("doc_id", "directory", matches(F.col("text"), templates, threshold, headers, bodies, F.col("low")).alias("m")).select("doc_id", "directory", "m.*")
     ranked = lambda spans, rank: F.transform(spans, lambda x: F.struct(F.lit(rank).alias("rank"), (-x["cosine"]).alias("order"), x["license"].alias("license")))
     best = F.array_min(F.concat(ranked("lines", 1), ranked(F.col("short.windows"), 1), ranked(F.col("full.windows"), 0)))
     held = F.size("full.windows") > 0
