@@ -81,3 +81,17 @@ def test_counting_reads_only_its_columns(spark, sf_dir):
 
 def test_row_counts_match_sources(spark, sf_dir):
     assert feeds.change_events(spark, sf_dir).count() == table(spark, sf_dir, "events").count()
+
+
+def test_archived_objects_are_not_listed_on_the_driver(spark, tmp_path):
+    from feedloom.sources.archive import read_archive_files
+
+    for name in ("orders/m1-2024-01-01/insert_x_m1", "orders/m2-2024-01-01/insert_x_m2", "leads/m3-2024-01-01/insert_x_m3"):
+        file = tmp_path / "raw" / f"{name}.json"
+        file.parent.mkdir(parents=True)
+        file.write_text("{}")
+    found = read_archive_files(spark, f"{tmp_path}/raw/{{orders,leads}}/m[12]-*/*")
+    assert found.inputFiles() == []  # a file source would hold a status of every object
+    assert sorted(r["message_id"] for r in found.collect()) == ["m1", "m2"]
+    assert read_archive_files(spark, f"{tmp_path}/raw/*/*/*").count() == 3
+    assert read_archive_files(spark, (tmp_path / "raw").as_uri() + "/*/*/*").count() == 3
