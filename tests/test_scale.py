@@ -95,3 +95,14 @@ def test_archived_objects_are_not_listed_on_the_driver(spark, tmp_path):
     assert sorted(r["message_id"] for r in found.collect()) == ["m1", "m2"]
     assert read_archive_files(spark, f"{tmp_path}/raw/*/*/*").count() == 3
     assert read_archive_files(spark, (tmp_path / "raw").as_uri() + "/*/*/*").count() == 3
+
+
+def test_a_task_s_share_of_a_spread_table_is_bounded(spark, tmp_path, monkeypatch):
+    from feedloom import session
+
+    spark.range(20000).selectExpr("id", "sha2(CAST(id AS string), 256) AS text").coalesce(1).write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    size = sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
+    monkeypatch.setattr(session, "SPREAD_BYTES", size // 50)
+    dealt = session.spread(rows, rows)
+    assert dealt.rdd.getNumPartitions() >= 50 and dealt.count() == 20000
