@@ -9,11 +9,17 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Compressed bytes that one task reads from files, or takes from a shuffle, so that its memory does not grow with the
+#: input: documents and payloads are many times as large once they are rows and sorted.
+SHARE_BYTES = 16 << 20
+
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHARE_BYTES),
+    "spark.sql.files.maxPartitionBytes": str(SHARE_BYTES),
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 

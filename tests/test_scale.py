@@ -106,3 +106,13 @@ def test_a_task_s_share_of_a_spread_table_is_bounded(spark, tmp_path, monkeypatc
     monkeypatch.setattr(session, "SPREAD_BYTES", size // 50)
     dealt = session.spread(rows, rows)
     assert dealt.rdd.getNumPartitions() >= 50 and dealt.count() == 20000
+
+
+def test_no_task_reads_more_as_the_files_grow(spark, tmp_path):
+    from feedloom.session import prepare
+
+    spark.range(128).repartition(128).write.parquet(str(tmp_path / "t"))
+    read = prepare(spark).read.parquet(str(tmp_path / "t"))
+    files = len(list((tmp_path / "t").glob("*.parquet")))
+    assert read.rdd.getNumPartitions() >= files * 4 // 16 > 16  # a file counts as 4 MB at least
+    assert int(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")) <= 16 << 20
