@@ -43,17 +43,19 @@ def dispatch(decoded: DataFrame) -> DataFrame:
     shaped = decoded.selectExpr("*", f"{V.cast_to('event', 'array<variant>')} AS _list")
     inside = V.get_keys("event", "document")
     stamp = V.get_keys("event", "timestamp", as_type="string")
-    return shaped.selectExpr(
-        "message_id",
-        "attributes",
-        "publish_time",
-        "decode_error",
+    columns = ("message_id", "attributes", "publish_time", "decode_error", "operation", "correlation_id", "event_ts", "_named")
+    # A document is copied out of its envelope here, once; the generator keeps what is routed by from copying it again.
+    taken = shaped.selectExpr(
+        *columns[:4],
         f"{V.get_keys('event', 'operation', as_type='string')} AS operation",
         f"{V.get_keys('event', 'correlation_id', as_type='string')} AS correlation_id",
         f"{V.iso_time(stamp)} AS event_ts",
         f"if(_list IS NULL, {_named('event')}, NULL) AS _named",
-        f"coalesce(get(_list, 0), {inside}, event) AS _first",
-        f"posexplode_outer(if(_list IS NOT NULL, _list, array(coalesce({inside}, event)))) AS (pos, document)",
+        f"if(_list IS NOT NULL, _list, array(coalesce({inside}, event))) AS _documents",
+        "if(array_size(_list) = 0, event, NULL) AS _empty",
+    )
+    return taken.selectExpr(
+        *columns, "coalesce(get(_documents, 0), _empty) AS _first", "posexplode_outer(_documents) AS (pos, document)"
     )
 
 

@@ -116,3 +116,10 @@ def test_no_task_reads_more_as_the_files_grow(spark, tmp_path):
     files = len(list((tmp_path / "t").glob("*.parquet")))
     assert read.rdd.getNumPartitions() >= files * 4 // 16 > 16  # a file counts as 4 MB at least
     assert int(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")) <= 16 << 20
+
+
+def test_documents_and_objects_are_copied_once(spark, sf_dir):
+    rows = SAMPLES["orders"].messages(spark, sf_dir)
+    stored = spark.createDataFrame(rows.limit(5).collect(), rows.schema)
+    text = collection_table(stored, "orders")._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count('$["document"], VariantType') == 1  # out of the envelope
