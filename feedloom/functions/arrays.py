@@ -25,12 +25,14 @@ class Stage:
     """Two projections that turn an array slot into typed structs.
 
     ``texts`` reads every element's fields as text in one cast.  ``typed`` converts them; where
-    a value's text does not decide, that value is read again by its type.
+    a value's text does not decide, that value is read again by its type.  ``of_members`` says that the slot is
+    an object and its members are read.
     """
 
     name: str
     texts: Callable[[Node], str]
     typed: Callable[[Node, str], str]
+    of_members: bool = False
 
 
 def _structs(name: str, /, **fields: str) -> Stage:
@@ -66,12 +68,14 @@ def _items_typed(node: Node, staged: str) -> str:
 
 def _bags_typed(node: Node, staged: str) -> str:
     """bagList as size -> meat -> count."""
-    by_size = V.cast_to(node.child("bagList").value(), "map<string,map<string,variant>>")
-    count = f"coalesce({V.integer_of(V.unwrap('n'))}, 0L)"
+    bags, shape = node.child("bagList"), "map<string,map<string,variant>>"
+    by_size = f"coalesce({bags.raw(shape)}, {V.cast_to(bags.value(), shape)})"
+    # A list is no number, so what casts at once needs no unwrapping.
+    count = f"coalesce({V.cast_to('n', 'bigint')}, {V.integer_of(V.unwrap('n'))}, 0L)"
     by_type = f"transform_values({by_size}, (s, meats) -> transform_values(meats, (m, n) -> {count}))"
     unclear = f"exists(map_values({staged}), m -> m IS NULL OR exists(map_values(m), n -> n IS NULL))"
     return (
-        f"CASE WHEN NOT {unclear} THEN {staged} WHEN {node.raw()} IS NOT NULL THEN {by_type} END"
+        f"CASE WHEN NOT {unclear} THEN {staged} WHEN {node.opened or node.raw()} IS NOT NULL THEN {by_type} END"
     )
 
 
@@ -92,7 +96,7 @@ STAGES = {
     ),
     "changes": _structs("changes", key="string", updatedBy="string", createdAt="timestamp"),
     "bags": Stage(
-        "bags", lambda node: node.raw("map<string,map<string,bigint>>", "bagList"), _bags_typed
+        "bags", lambda node: node.raw("map<string,map<string,bigint>>", "bagList"), _bags_typed, of_members=True
     ),
 }
 

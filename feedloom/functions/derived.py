@@ -105,6 +105,9 @@ def has_items(node: Node) -> str:
 # Functions of plain values: their slot's text is read along with the plain fields.
 OF_PLAIN_VALUES = ("entity_type", "stat_type", "stat_agent", "has_agent_list", "has_text", "text_length")
 
+# Functions of a slot's members.
+OF_MEMBERS = ("member_text", "member_time", "member_real", "member_integer", "member_count")
+
 DERIVED: dict[str, Callable[..., str]] = {
     "entity_type": entity_type,
     "stat_type": stat_type,

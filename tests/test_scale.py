@@ -123,3 +123,4 @@ def test_documents_and_objects_are_copied_once(spark, sf_dir):
     stored = spark.createDataFrame(rows.limit(5).collect(), rows.schema)
     text = collection_table(stored, "orders")._jdf.queryExecution().optimizedPlan().toString()
     assert text.count('$["document"], VariantType') == 1  # out of the envelope
+    assert text.count('$["content"], VariantType') == 1  # out of the document
