@@ -218,7 +218,7 @@ class Node:
     def present(self) -> str:
         """False for an absent slot, JSON null and an empty object."""
         text = self.text or self.raw("string")
-        return f"coalesce({text} <> '{{}}' OR {kind_of(self.raw())} = 'STRING', false)"
+        return f"({text} IS NOT NULL AND ({text} <> '{{}}' OR {kind_of(self.raw())} = 'STRING'))"
 
     def filled(self) -> str:
         """Whether any candidate is more than null or empty text."""

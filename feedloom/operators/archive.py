@@ -95,19 +95,22 @@ def write_objects(rows: DataFrame, root: str) -> int:
     return rows.select("path", "payload").mapInArrow(put, "objects bigint").agg(F.sum("objects")).first()[0] or 0
 
 
-def write_collection_table(table: DataFrame, path: str, as_of: Column | None = None) -> int:
+def write_collection_table(table: DataFrame, path: str, as_of: Column | None = None, fresh: bool = False) -> int:
     """Adds rows to the processed table of a collection, partitioned by operation and event date.
 
     A document counts once, by message id and position (without an id: by its whole row), whatever day or
-    operation a copy of it names.  Earlier batches stay, and a batch written again adds nothing.
+    operation a copy of it names.  Earlier batches stay, and a batch written again adds nothing.  ``fresh`` as in
+    ``ledger.add_once``.
     """
     now = F.current_timestamp() if as_of is None else as_of
     dated = table.withColumn("ingest_date", F.to_date(F.coalesce("_event_ts", now)))
     whole = F.sha2(F.to_json(F.struct(*table.columns)), 256)
     named = dated.withColumn("_message_id", F.coalesce(F.nullif("_message_id", F.lit("")), F.concat(F.lit("sha256:"), whole)))
-    return ledger.add_once(named, path, ledger.digest("_message_id", "_pos"), ["_operation", "ingest_date"], ["_operation", "ingest_date"])
+    key, parts = ledger.digest("_message_id", "_pos"), ["_operation", "ingest_date"]
+    return ledger.add_once(named, path, key, parts, parts, fresh)
 
 
-def write_set_aside(rows: DataFrame, path: str) -> int:
+def write_set_aside(rows: DataFrame, path: str, fresh: bool = False) -> int:
     """Adds skipped or rejected documents, each once by message id and position, by disposition and date."""
-    return ledger.add_once(rows, path, ledger.digest("message_id", "pos"), ["disposition", "ingest_date"], ["disposition", "ingest_date"])
+    key, parts = ledger.digest("message_id", "pos"), ["disposition", "ingest_date"]
+    return ledger.add_once(rows, path, key, parts, parts, fresh)

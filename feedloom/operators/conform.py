@@ -105,7 +105,9 @@ def column_measures(df: DataFrame, schema: T.StructType, by: tuple[str, ...] = (
             source = F.col(f.name)
             cast = lenient_cast(source, have[f.name], f.dataType)
             nulls = F.count_if(cast.isNull())
-            lost = F.count_if(F.array_contains(losses, f.name) if losses else source.isNotNull() & cast.isNull())
+            # Few rows have lost anything, so most are not searched for every field.
+            listed = (F.size(losses) > 0) & F.array_contains(losses, f.name) if losses else None
+            lost = F.count_if(listed if losses else source.isNotNull() & cast.isNull())
         else:
             nulls, lost = F.count(F.lit(1)), F.lit(0).cast("bigint")
         per_column.append(

@@ -12,12 +12,16 @@ for the first time.  Keys are looked up in the index alone, whatever the date, c
 batch's keys are sent to the index (by broadcast, where Spark measures them as small), not the index to them.
 
 A batch's rows are evaluated once: they are written before they are compared, and written anew without the known ones
-only where there are any.  One writer at a time; ``compact_keys`` joins the index parts of many small batches.
+only where there are any.  Where rows bring their key before anything is made of them, ``unseen`` takes the known ones
+out first, and none of these is evaluated.  One writer at a time; ``compact_keys`` joins the index parts of many small
+batches.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -121,21 +125,45 @@ def _write_keys(keys: DataFrame, path: str, attempt: str) -> None:
     keys.sortWithinPartitions("_key").write.parquet(f"{path}/_keys/_batch={attempt}")
 
 
-def add_once(rows: DataFrame, path: str, key: Column, order: list[str], parts: list[str]) -> int:
-    """Adds the first row (by ``order``) of each key that the table does not hold yet; returns how many."""
+@contextmanager
+def unseen(rows: DataFrame, path: str, key: Column) -> Iterator[DataFrame | None]:
+    """The rows whose key the table does not hold yet, as long as the context lasts; None where it holds them all.
+
+    Only keys are read to tell: of the batch, and those of the index that the batch names.
+    """
+    keyed = rows.withColumn("_key", key)
+    met = known_keys(rows.sparkSession, path).join(keyed.select("_key"), "_key", "left_semi").persist()
+    try:
+        if not met.limit(1).count():
+            yield rows
+        elif not keyed.select("_key").join(met, "_key", "left_anti").limit(1).count():
+            yield None
+        else:
+            yield keyed.join(met, "_key", "left_anti").drop("_key")
+    finally:
+        met.unpersist()
+
+
+def add_once(rows: DataFrame, path: str, key: Column, order: list[str], parts: list[str], fresh: bool = False) -> int:
+    """Adds the first row (by ``order``) of each key that the table does not hold yet; returns how many.
+
+    ``fresh`` says that every key occurs once in ``rows`` and that those of the table were taken out by ``unseen``.
+    """
     spark, attempt = rows.sparkSession, _new_attempt()
     place = f"{path}/_batch={attempt}"
-    once = first_per_key(rows.withColumn("_key", key), ["_key"], order)
+    keyed = rows.withColumn("_key", key)
+    once = keyed if fresh else first_per_key(keyed, ["_key"], order)
     write_parts(once, place, "errorifexists", *parts)
     mine = spark.read.schema(once.schema).parquet(place)
-    met = known_keys(spark, path).join(mine.select("_key"), "_key", "left_semi").persist()
-    if met.limit(1).count():
-        attempt, first = _new_attempt(), place
-        place = f"{path}/_batch={attempt}"
-        write_parts(mine.join(met, "_key", "left_anti"), place, "errorifexists", *parts)
-        remove(spark, first)
-        mine = spark.read.schema(once.schema).parquet(place)
-    met.unpersist()
+    if not fresh:
+        met = known_keys(spark, path).join(mine.select("_key"), "_key", "left_semi").persist()
+        if met.limit(1).count():
+            attempt, first = _new_attempt(), place
+            place = f"{path}/_batch={attempt}"
+            write_parts(mine.join(met, "_key", "left_anti"), place, "errorifexists", *parts)
+            remove(spark, first)
+            mine = spark.read.schema(once.schema).parquet(place)
+        met.unpersist()
     added = mine.count()
     if added:
         _write_keys(mine.select("_key"), path, attempt)

@@ -219,7 +219,8 @@ class Compiler:
         for f in read:
             node = self._node(f.source, with_text=True)
             tests.append(f"if({f.target} IS NULL AND {node.present()} AND {node.filled()}, '{f.target}', NULL)")
-        return f"array_compact(CAST(array({', '.join(tests)}) AS array<string>))"
+        # Unlike array_compact this is no lambda, so the tests are compiled; each name is there once.
+        return f"array_except(CAST(array({', '.join(tests)}) AS array<string>), array(CAST(NULL AS string)))"
 
 
 def map_documents(

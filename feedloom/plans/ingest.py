@@ -16,7 +16,7 @@ from ..operators.archive import write_collection_table, write_set_aside
 from ..operators.conform import conform, document_warnings, drift_report
 from ..operators.decode import decode, named_messages
 from ..operators.dedup import first_per_key
-from ..operators.ledger import derive_once, read_committed, remove, write_parts
+from ..operators.ledger import derive_once, digest, read_committed, remove, unseen, write_parts
 from ..operators.mapping import Collection, map_documents
 from ..operators.routing import dispatch, processed, rejected, route, skipped
 from .collections import DEFAULT_COLLECTION, REGISTRY
@@ -89,7 +89,8 @@ def write_all_tables(
     Messages are decoded and routed once, into a Parquet table partitioned by collection in
     ``staging`` (a folder all executors share).  Each collection then reads its own partition
     only, so 22 collections cost two passes over the data rather than 22 decodings, and a lost
-    executor redoes a read, not the decoding.
+    executor redoes a read, not the decoding.  The staged rows hold each message id and position
+    once; those that a table holds already are taken out before they are mapped.
     """
     spark = messages.sparkSession
     now = F.current_timestamp() if as_of is None else as_of
@@ -99,17 +100,23 @@ def write_all_tables(
     routed = spark.read.schema(routed.schema).parquet(staging)
     present = {r["collection"] for r in processed(routed).select("collection").distinct().collect()}
 
+    key = digest("message_id", "pos")
+
     def write(name: str) -> tuple[str, str]:
         path = f"{out}/{name}"
-        write_collection_table(transform_collection(routed, name, as_of), path, as_of)
+        with unseen(processed(routed, name), path, key) as fresh:
+            if fresh is not None:
+                write_collection_table(transform_collection(fresh, name, as_of), path, as_of, fresh=True)
         derive_once(spark, path, f"{out}/_drift/{name}", lambda rows: drift_of(rows, name, as_of), ["severity"])
         return name, path
 
     with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
         written = dict(pool.map(inheritable_thread_target(spark)(write), [n for n in collections if n in present]))
     for label, rows in (("_skipped", skipped(routed)), ("_rejected", rejected(routed))):
-        kept = rows.withColumn("document", F.to_json("document")).withColumn("ingest_date", F.to_date(F.coalesce("event_ts", now)))
-        write_set_aside(kept, f"{out}/{label}")
+        with unseen(rows, f"{out}/{label}", key) as fresh:
+            if fresh is not None:
+                kept = fresh.withColumn("document", F.to_json("document")).withColumn("ingest_date", F.to_date(F.coalesce("event_ts", now)))
+                write_set_aside(kept, f"{out}/{label}", fresh=True)
     remove(spark, staging)
     return written
 

@@ -115,3 +115,26 @@ def test_the_index_is_not_shuffled_for_a_small_batch(spark):
     met.collect()
     plan = met._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "ReadSchema: struct<_key:binary>" in plan
+
+
+def test_rows_that_a_table_holds_are_not_mapped_again(spark, monkeypatch):
+    from feedloom.plans import ingest
+
+    mapped, whole = [], ingest.transform_collection
+    monkeypatch.setattr(ingest, "transform_collection", lambda rows, name, *a: mapped.append((name, rows.count())) or whole(rows, name, *a))
+    out = work_dir(spark, "tables")
+
+    def write(*names):
+        sent = [(n, envelope("coupons" if n > "m" else "nowhere", {"_id": n, "createdAt": "never"})) for n in names]
+        rows = [{"message": {"data": encoded(body), "messageId": n}} for n, body in sent]
+        ingest.write_all_tables(spark.createDataFrame(rows, MESSAGE_SCHEMA), out, work_dir(spark, "routed"), F.lit(DAY))
+
+    write("m1", "m2", "a1")
+    write("m2", "m1", "m1", "a1")
+    write("m1", "m3", "a1", "a2")
+    assert mapped == [("coupons", 2), ("coupons", 1)]
+    ids = lambda path, name: sorted(r[name] for r in ledger.read_committed(spark, path).collect())
+    assert ids(f"{out}/coupons", "pk_coupon") == ["m1", "m2", "m3"] and ids(f"{out}/_skipped", "message_id") == ["a1", "a2"]
+    assert ledger.known_keys(spark, f"{out}/coupons").distinct().count() == ledger.known_keys(spark, f"{out}/coupons").count() == 3
+    cast = ingest.read_drift(spark, out, ["coupons"]).filter("message LIKE 'TYPE%' AND message_id IS NOT NULL")
+    assert sorted(r["message_id"] for r in cast.collect()) == ["m1", "m2", "m3"]
