@@ -217,7 +217,7 @@ def wrap(documents: DataFrame, collection: str) -> DataFrame:
             f"'{collection}' AS collection",
         )
         .selectExpr(
-            f"base64(encode({envelope}, 'UTF-8')) AS body",
+            f"base64(CAST({envelope} AS binary)) AS body",
             f"map('operation', operation, 'collection', collection, 'database', '{DATABASE}', "
             "'correlation_id', concat('c-', id)) AS attrs",
             "md5(concat(collection, id)) AS mid",

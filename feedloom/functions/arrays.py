@@ -15,6 +15,8 @@ from . import variant as V
 from .variant import Node
 
 SEPARATOR = ", "
+# JSON of an object whose one member, ``category``, is text without escapes (a pattern within SQL text).
+PLAIN_CATEGORY = r'\\A\\{"category":"([^"\\\\\\x00-\\x1f]*)"\\}\\z'
 
 
 # --- staged arrays ---------------------------------------------------------------------
@@ -41,18 +43,38 @@ def _structs(name: str, /, **fields: str) -> Stage:
     def texts(node: Node) -> str:
         return node.raw("array<struct<" + ",".join(f"{f} string" for f in fields) + ">>")
 
+    def listed(field: str) -> str:
+        """The text of a list's first filled element in place of the list's; ``l`` holds what is a list."""
+        first = f"get(filter(l.{field}, c -> c <> ''), 0)"
+        return f"if(startswith(e.{field}, '[') AND l.{field} IS NOT NULL, {first}, e.{field})"
+
     def typed(node: Node, staged: str) -> str:
-        items = node.raw("array<struct<" + ",".join(f"{f} variant" for f in fields) + ">>")
+        read = {f: t for f, t in fields.items() if t != "json"}
+        lists = node.raw("array<struct<" + ",".join(f"{f} array<string>" for f in read) + ">>")
+        items = node.raw("array<struct<" + ",".join(f"{f} variant" for f in read) + ">>")
+        opened = ", ".join(f"'{f}', {listed(f) if f in read else f'e.{f}'}" for f in fields)
         by_text = ", ".join(f"'{f}', {V.direct(f'e.{f}', t)}" for f, t in fields.items())
         by_type = ", ".join(
-            f"'{f}', if({V.undecided(f'e.{f}', t)}, {V.READERS[t](V.unwrap(f'v.{f}'))}, {V.direct(f'e.{f}', t)})"
+            f"'{f}', if({V.undecided(f'e.{f}', t)}, {V.bound(V.unwrap(f'v.{f}'), V.READERS[t])}, {V.direct(f'e.{f}', t)})"
+            if f in read
+            else f"'{f}', e.{f}"
             for f, t in fields.items()
         )
-        unclear = " OR ".join(V.undecided(f"e.{f}", t) for f, t in fields.items() if t != "json")
+        has_list = " OR ".join(f"startswith(e.{f}, '[')" for f in read)
+        unclear = " OR ".join(V.undecided(f"e.{f}", t) for f, t in read.items())
+        # A list always counts as unclear, so only rows with an unclear value are searched for lists.  What the lists'
+        # texts leave unclear is read as VARIANTs, which is many times dearer.
+        without_lists = f"if(exists({staged}, e -> {has_list}), zip_with({staged}, {lists}, (e, l) -> named_struct({opened})), {staged})"
         return (
             f"if(exists({staged}, e -> {unclear}), "
-            f"zip_with({staged}, {items}, (e, v) -> named_struct({by_type})), "
-            f"transform({staged}, e -> named_struct({by_text})))"
+            + V.bound(
+                without_lists,
+                lambda rows: f"if(exists({rows}, e -> {unclear}), "
+                f"zip_with({rows}, {items}, (e, v) -> named_struct({by_type})), "
+                f"transform({rows}, e -> named_struct({by_text})))",
+                "o",
+            )
+            + f", transform({staged}, e -> named_struct({by_text})))"
         )
 
     return Stage(name, texts, typed)
@@ -164,10 +186,16 @@ def latest_refund(items: str, field: str) -> str:
 
 
 def latest_refund_category(items: str) -> str:
-    """Category of the latest refund's reason object; only that one reason is parsed."""
-    reason = f"array(try_parse_json({latest_refund(items, 'reason')}))"
-    category = V.text_of(Node(V.unwrap("c"), "category").value())
-    return f"get(transform({reason}, c -> {category}), 0)"
+    """Category of the latest refund's reason object; only that one reason is looked at, and parsed where it holds more."""
+    text = latest_refund(items, "reason")
+    # An object of this one plain text: its JSON decides without being parsed.
+    plain = f"nullif(regexp_extract({text}, '{PLAIN_CATEGORY}', 1), '')"
+    parsed = V.bound(
+        f"try_parse_json({text})",
+        lambda r: V.bound(V.unwrap(r), lambda c: V.bound(Node(c, "category").value(), V.text_of, "t"), "c"),
+        "r",
+    )
+    return f"coalesce({plain}, {parsed})"
 
 
 def latest_change(items: str, field: str) -> str:

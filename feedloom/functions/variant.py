@@ -56,6 +56,11 @@ def unwrap(value: str) -> str:
     return f"if({items} IS NOT NULL, {first_filled(items)}, {value})"
 
 
+def bound(value: str, then: Callable[[str], str], name: str = "b") -> str:
+    """``then`` of a value that it names several times, evaluated once."""
+    return f"get(transform(array({value}), {name} -> {then(name)}), 0)"
+
+
 def kind_of(value: str) -> str:
     return f"schema_of_variant({value})"
 
@@ -114,7 +119,7 @@ READERS: dict[str, Callable[[str], str]] = {
 
 def opens_container(text: str) -> str:
     """Whether JSON text may stand for an array or an object."""
-    return f"substring({text}, 1, 1) IN ('[', '{{')"
+    return f"(startswith({text}, '[') OR startswith({text}, '{{'))"
 
 
 def date_text(text: str) -> str:

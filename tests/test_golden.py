@@ -1,7 +1,10 @@
 """Hand-written documents for every decision about polymorphic, absent and damaged values."""
 
 import datetime as dt
+import json
 
+from feedloom.functions.arrays import STAGES
+from feedloom.functions.variant import Node
 from helpers import table
 
 D = dt.datetime
@@ -89,6 +92,43 @@ def test_latest_refund_ties_go_to_the_first(spark):
     assert (row["val_refunds_count"], row["imp_total_refund_amount"]) == (4, 3.5)
 
 
+def test_lists_in_refunds_are_read_from_their_texts(spark):
+    class TextOnly(Node):
+        def raw(self, as_type="variant", *below):
+            if "variant" in as_type:
+                return f"CAST(raise_error('read as VARIANT') AS {as_type})"
+            return super().raw(as_type, *below)
+
+    refunds = [
+        {"amount": ["", "2.5"], "createdAt": {"$date": "2024-02-01T00:00:00Z"}, "status": ["", None, "done"], "reason": {"category": "late"}},
+        {"amount": [], "createdAt": ["2024-02-02"], "status": [""]},
+    ]
+    node, stage = TextOnly("document", "refunds"), STAGES["refunds"]
+    rows = spark.createDataFrame([(json.dumps({"refunds": refunds}),)], "text string").selectExpr("parse_json(text) AS document")
+    staged = rows.selectExpr("document", f"{stage.texts(node)} AS texts")
+    one, two = staged.selectExpr(f"{stage.typed(node, 'texts')} AS refunds").first()["refunds"]
+    assert one.asDict() == {"amount": 2.5, "createdAt": D(2024, 2, 1), "status": "done", "reason": '{"category":"late"}'}
+    assert two.asDict() == {"amount": None, "createdAt": D(2024, 2, 2), "status": None, "reason": None}
+
+
+def test_lists_in_refunds_that_text_does_not_decide(spark):
+    refunds = [
+        {"createdAt": "2024-01-01", "status": "[1,2]", "amount": [{"$numberLong": "4"}]},
+        {"createdAt": ["2024-03-01"], "status": [{"$oid": "ab"}], "amount": "x"},
+    ]
+    (row,) = table(spark, "payments", {"_id": "p", "refunds": refunds})
+    assert (row["des_latest_refund_status"], row["imp_total_refund_amount"]) == ("ab", 4.0)
+    (row,) = table(spark, "payments", {"_id": "p", "refunds": refunds[:1]})
+    assert row["des_latest_refund_status"] == "[1,2]"
+
+
+def test_refund_category(spark):
+    reasons = [{"category": "late"}, {"category": 'la"t\\e\n'}, {"category": ["", "x"]}, {"category": "a", "more": 1}, [None, {"category": "y"}],
+               '{"category":"z"}', '{"category":"z"', {"category": ""}, {"category": {"$oid": "ab"}}, "late", None]
+    rows = table(spark, "payments", *[{"_id": "p", "refunds": [{"createdAt": "2024-01-01", "reason": r}]} for r in reasons])
+    assert [r["des_latest_refund_reason"] for r in rows] == ["late", 'la"t\\e\n', "x", "a", "y", "z", None, None, "ab", None, None]
+
+
 def test_line_items(spark):
     items = [{"qty": 2, "unitGrams": 10, "unitAmount": 1.5, "product": "P"}, {"qty": ["", "3"], "unitAmount": "2"}, {"qty": "x"}, "junk"]
     (row,) = table(spark, "payments", {"_id": "p", "lineItems": items, "orders": ["o1", "", {"$oid": "o2"}, 0]})
