@@ -159,12 +159,15 @@ class Node:
     field, a flag that is no boolean) goes back to the VARIANT and looks at the value's type.
     ``opened`` names a column with the slot's ``value()``, where one is staged: members are read from that, as
     every ``value()`` copies the whole object out of its holder.
+    ``first`` names a column with ``first_text()``, where one is staged: most lists are decided by it without a lambda,
+    which Spark does not compile.
     """
 
     parent: str
     key: str
     text: str | None = None
     opened: str | None = None
+    first: str | None = None
 
     def raw(self, as_type: str = "variant", *below: str) -> str:
         return get_keys(self.parent, self.key, *below, as_type=as_type)
@@ -193,8 +196,33 @@ class Node:
         kinds = WHOLE_WRAPPERS if as_type == "bigint" else REAL_WRAPPERS + WHOLE_WRAPPERS
         return f"coalesce({', '.join(self.raw(as_type, w) for w in kinds)})"
 
+    def first_text(self) -> str:
+        """Text of a list's first filled element, NULL where the slot is no list or has none."""
+        listed = f"get(array_except({self.raw('array<string>')}, array('', CAST(NULL AS string))), 0)"
+        return f"if(startswith({self.text}, '['), {listed}, NULL)"
+
+    def _is_text(self) -> str:
+        """Whether a slot that is no container holds a JSON string: of the JSON values, only text casts to bytes."""
+        return f"{self.raw('binary')} IS NOT NULL"
+
+    def _truth_of_list(self) -> str:
+        """Truth of the first filled element; its text tells unless it may be a number or a container."""
+        if not self.first:
+            return self.careful("boolean")
+        place = f"CAST(array_position({self.raw('array<string>')}, 'false') AS int) - 1"
+        is_text = f"get({self.raw('array<binary>')}, {place}) IS NOT NULL"
+        return (
+            f"CASE WHEN {self.first} = 'true' THEN true WHEN {self.first} = 'false' THEN {is_text} "
+            f"ELSE {self.careful('boolean')} END"
+        )
+
     def _first_of_list(self, as_type: str) -> str:
         """First filled element where its own text decides it, else by its type."""
+        if self.first:
+            plain = direct(self.first, as_type)
+            if as_type not in ("json", "timestamp"):
+                plain = f"if({opens_container(self.first)}, NULL, {plain})"
+            return f"coalesce({plain}, {self.careful(as_type)})"
         filled = f"slice(filter({self.raw('array<string>')}, e -> e <> ''), 1, 1)"
         plain = f"if({undecided('e', as_type)}, NULL, {direct('e', as_type)})"
         return f"coalesce(get(transform({filled}, e -> {plain}), 0), {self.careful(as_type)})"
@@ -202,30 +230,31 @@ class Node:
     def read(self, as_type: str) -> str:
         text = self.text or self.raw("string")
         if as_type == "boolean":
-            number = f"if({kind_of(self.raw())} = 'STRING', true, {self.raw('boolean')})"
             return (
                 f"CASE WHEN {text} IS NULL OR {text} = '' THEN NULL WHEN {text} = 'true' THEN true "
-                f"WHEN {text} = 'false' THEN {kind_of(self.raw())} = 'STRING' "
-                f"WHEN {opens_container(text)} THEN {self.careful(as_type)} ELSE {number} END"
+                f"WHEN {text} = 'false' THEN {self._is_text()} WHEN startswith({text}, '[') THEN {self._truth_of_list()} "
+                f"WHEN startswith({text}, '{{') THEN {self.careful(as_type)} "
+                f"ELSE if({self._is_text()}, true, {self.raw('boolean')}) END"
             )
-        first, last = "", direct(text, "string")
+        last = direct(text, "string")
         if as_type == "timestamp":
-            first = f"WHEN {direct(text, as_type)} IS NOT NULL THEN {direct(text, as_type)} "
             last = self.careful(as_type)
         elif as_type != "string":
             last = f"coalesce({direct(text, as_type)}, {self.careful(as_type)})"
-        return (
-            f"CASE WHEN {text} IS NULL THEN NULL {first}"
+        read = (
+            f"CASE WHEN {text} IS NULL THEN NULL "
             f"WHEN startswith({text}, '{{') THEN {self._wrapped(as_type, text)} "
             f"WHEN startswith({text}, '[') THEN {self._first_of_list(as_type)} ELSE {last} END"
         )
+        return f"coalesce({direct(text, as_type)}, {read})" if as_type == "timestamp" else read
 
     def present(self) -> str:
         """False for an absent slot, JSON null and an empty object."""
-        text = self.text or self.raw("string")
-        filled = f"coalesce({text} <> '{{}}' OR {kind_of(self.raw())} = 'STRING', false)"
-        # A staged text tells an absent slot without a look at the document; another would be read twice.
-        return f"({text} IS NOT NULL AND {filled})" if self.text else filled
+        if self.text:  # a staged text tells an absent slot without a look at the document
+            filled = f"coalesce({self.text} <> '{{}}' OR {kind_of(self.raw())} = 'STRING', false)"
+            return f"({self.text} IS NOT NULL AND {filled})"
+        # Members are counted, not printed: the text of an object costs many times as much.
+        return f"coalesce(array_size(map_keys({self.raw('map<string,binary>')})) > 0, {self.raw('string')} IS NOT NULL)"
 
     def filled(self) -> str:
         """Whether any candidate is more than null or empty text."""

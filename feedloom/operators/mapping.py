@@ -167,11 +167,11 @@ class Compiler:
 
     def _node(self, path: str, with_text: bool = False) -> Node:
         above, _, key = path.rpartition(".")
-        text = f"_t_{_slug(above)}.`{key}`" if with_text else None
-        return Node(self._object(above), key, text, self._object(path) if path in self.staged else None)
+        text, first = (f"_{kind}_{_slug(above)}.`{key}`" if with_text else None for kind in "tf")
+        return Node(self._object(above), key, text, self._object(path) if path in self.staged else None, first)
 
     def stages(self) -> list[list[str]]:
-        """Projections ahead of the final one: objects by depth, then texts, then typed arrays."""
+        """Projections ahead of the final one: objects by depth, then texts, then lists' first texts and typed arrays."""
         fields = self.collection.mapped
         by_depth: dict[int, list[str]] = {}
         for path in self.staged:
@@ -182,12 +182,13 @@ class Compiler:
             if self._is_plain(f):
                 above, _, key = f.source.rpartition(".")
                 keys.setdefault(above, {})[key] = None
-        texts = []
+        texts, typed = [], []
         for above, names in keys.items():
             shape = ",".join(f"`{name}` string" for name in names)
             texts.append(f"{V.cast_to(self._object(above), f'struct<{shape}>')} AS _t_{_slug(above)}")
+            nodes = [(name, self._node(f"{above}.{name}" if above else name, with_text=True)) for name in names]
+            typed.append("named_struct(" + ", ".join(f"'{n}', {node.first_text()}" for n, node in nodes) + f") AS _f_{_slug(above)}")
         arrays = {self._array_name(f): f for f in fields if f.function in MEASURES}
-        typed = []
         for name, f in arrays.items():
             stage = STAGES[MEASURES[f.function].stage]
             texts.append(f"{stage.texts(self._node(f.source))} AS _s{name}")

@@ -187,3 +187,24 @@ def test_redaction_hides_secrets(spark):
     hidden = transform_collection(routed, "users-metadata", redact=True).first()
     assert (plain["txt_password_hash"], plain["cod_verification_token"]) == ("h", "t")
     assert len(hidden["txt_password_hash"]) == 64 and len(hidden["cod_verification_token"]) == 64
+
+
+def test_lists_that_their_text_decides_are_not_read_by_type(spark, monkeypatch):
+    monkeypatch.setattr(Node, "careful", lambda self, as_type: f"CAST(raise_error('read by type') AS {as_type})")
+    values = [["", None, False], ["false"], [True, False], "x", ["", "true"]]
+    rows = table(spark, "leads", *[{"_id": str(i), "isAnonymous": v} for i, v in enumerate(values)])
+    assert [r["flg_anonymous"] for r in rows] == [False, True, True, True, True]
+    (row,) = table(spark, "customers", {"_id": ["", "a"], "email": [None, "a@x", "b@x"], "legacyId": ["", 7]})
+    assert (row["pk_client"], row["des_email"], row["val_legacy_id"]) == ("a", "a@x", 7)
+    rows = table(spark, "coupons", {"_id": "a", "createdAt": ["", "2024-01-01"]}, {"_id": "b", "createdAt": [{"$date": "2024-01-01T00:00:00Z"}]})
+    assert [r["ts_coupon_created_at"] for r in rows] == [D(2024, 1, 1)] * 2
+
+
+def test_lists_that_their_text_does_not_decide(spark):
+    values = [[False], [0], ["0"], ["", 2], [[]], [{}], "[x", ["", None], [], [{"a": 1}], ["x", False], [False, "x"], ["", "false", False]]
+    rows = table(spark, "leads", *[{"_id": str(i), "isAnonymous": v} for i, v in enumerate(values)])
+    assert [r["flg_anonymous"] for r in rows] == [False, False, True, True, False, False, True, None, None, True, True, False, True]
+    values = [[{"$numberLong": "9"}], ["x", 4], [1.9], ["1.9"], [True], [[5]], ["[5]"], "[5]", [None]]
+    rows = table(spark, "customers", *[{"_id": str(i), "legacyId": v, "email": v} for i, v in enumerate(values)])
+    assert [r["val_legacy_id"] for r in rows] == [9, None, 1, None, 1, None, None, None, None]
+    assert [r["des_email"] for r in rows] == ['{"$numberLong":"9"}', "x", "1.9", "1.9", "true", "[5]", "[5]", "[5]", None]
