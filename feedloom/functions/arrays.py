@@ -95,9 +95,17 @@ def _bags_typed(node: Node, staged: str) -> str:
     # A list is no number, so what casts at once needs no unwrapping.
     count = f"coalesce({V.cast_to('n', 'bigint')}, {V.integer_of(V.unwrap('n'))}, 0L)"
     by_type = f"transform_values({by_size}, (s, meats) -> transform_values(meats, (m, n) -> {count}))"
-    unclear = f"exists(map_values({staged}), m -> m IS NULL OR exists(map_values(m), n -> n IS NULL))"
+    unclear = lambda counts: f"exists(map_values({counts}), m -> m IS NULL OR exists(map_values(m), n -> n IS NULL))"
+    # Counts in a list are read from the text of its first filled element; only what that leaves open is read as VARIANTs,
+    # which is many times dearer.
+    listed = "try_cast(get(array_except(l, array('', CAST(NULL AS string))), 0) AS bigint)"
+    meats = f"map_from_arrays(map_keys(m), zip_with(map_values(m), map_values(ls), (n, l) -> coalesce(n, {listed})))"
+    lists = node.raw("map<string,map<string,array<string>>>", "bagList")
+    by_text = f"map_from_arrays(map_keys({staged}), zip_with(map_values({staged}), map_values({lists}), (m, ls) -> {meats}))"
+    by_lists = V.bound(by_text, lambda counts: f"if(NOT {unclear(counts)}, {counts}, {by_type})")
     return (
-        f"CASE WHEN NOT {unclear} THEN {staged} WHEN {node.opened or node.raw()} IS NOT NULL THEN {by_type} END"
+        f"CASE WHEN NOT {unclear(staged)} THEN {staged} WHEN {staged} IS NOT NULL THEN {by_lists} "
+        f"WHEN {node.opened or node.raw()} IS NOT NULL THEN {by_type} END"
     )
 
 

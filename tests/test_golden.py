@@ -208,3 +208,23 @@ def test_lists_that_their_text_does_not_decide(spark):
     rows = table(spark, "customers", *[{"_id": str(i), "legacyId": v, "email": v} for i, v in enumerate(values)])
     assert [r["val_legacy_id"] for r in rows] == [9, None, 1, None, 1, None, None, None, None]
     assert [r["des_email"] for r in rows] == ['{"$numberLong":"9"}', "x", "1.9", "1.9", "true", "[5]", "[5]", "[5]", None]
+
+
+def test_bag_counts_in_lists_are_read_from_their_texts(spark, monkeypatch):
+    full = {"100": {"beef": 2, "chicken": [None, "3"]}, "300": {"beef": ["", 1, 5]}}
+    other = {"100": {"beef": [{"$numberLong": "2"}], "chicken": 1.9}, "300": {"beef": ["x", 5]}}
+    names = ("val_total_bags", "val_beef_bags", "val_bag_size_100_count")
+    (row,) = table(spark, "orders", {"_id": "b", "content": {"bagList": other}})
+    assert [row[n] for n in names] == [3, 2, 3]
+    from feedloom.functions import variant
+
+    monkeypatch.setattr(variant, "integer_of", lambda value: "CAST(raise_error('read by type') AS bigint)")
+    (row,) = table(spark, "orders", {"_id": "a", "content": {"bagList": full}})
+    assert [row[n] for n in names] == [6, 3, 5]
+
+
+def test_objects_are_counted_and_not_printed_to_tell_that_they_are_there(spark):
+    assert "map<string,binary>" in Node("document", "package").present()
+    values = [None, {}, {"a": {}}, {"handlers": [1, 2]}, [], "", "{}", 0, False]
+    rows = table(spark, "orders", *[{"_id": str(i), "package": v} for i, v in enumerate(values)], {"_id": "z"})
+    assert [r["val_package_handlers_count"] for r in rows] == [None, None, 0, 2, 0, 0, 0, 0, 0, None]
